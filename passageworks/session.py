@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -48,3 +49,9 @@ def materialize(df: DataFrame, hint: str = "t") -> DataFrame:
     path = f"{shared_dir(spark)}/{hint}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(df: DataFrame) -> None:
+    """Let the driver notice unreachable plans now, so the shuffle files of steps already written out leave the disks."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
