@@ -6,8 +6,8 @@ so "Hamming distance over d" proves "not similar": pruning by it loses nothing.
 
 A trie over whole fingerprints prunes late, because d errors may all lie at its end. So the words are dealt into m
 blocks with m (K + 1) > d; then some block holds at most K = 2 of the differences. One trie per block is rooted at
-that block: its first 64 levels are the block's parity bits with error budget K, the levels below are a 256-bit parity
-of the whole set with budget d. The join traverses pairs of nodes together, adds up differing bits and drops a pair of
+that block: its first 64 levels are the block's parity bits with error budget K, the levels below are a parity of
+the whole set, 128 bits or more as the band's d grows, with budget d. The join traverses pairs of nodes together, adds up differing bits and drops a pair of
 nodes as soon as a budget is exceeded; with K = 2 the number of pairs visited grows like n log^2 n instead of n^2.
 
 On the cluster a trie is one task group (format, size band, block). A trie with more than LEAVES leaves is cut at its top:
@@ -30,12 +30,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, release
 
 WORD = re.compile(r"[a-z0-9_]+")
 ERRORS = 2
-LEAVES = 250_000
-FP_WORDS = 4
+LEAVES = 1_000_000
+BROADCAST_ROWS = 10_000
+FP_WORDS = 16
 DIRECT = 64
 FRONTIER = 400_000
 
@@ -81,6 +82,11 @@ class Bands:
     def blocks(self, band: int) -> int:
         return self.worst(band) // (ERRORS + 1) + 1
 
+    def width(self, band: int) -> int:
+        """64-bit words of the whole set's parity, so wide that unrelated sets differ in clearly more than d bits."""
+        d = self.worst(band)
+        return 2 if d <= 40 else 4 if d <= 96 else 8 if d <= 208 else FP_WORDS
+
     def of(self, n: int) -> list[int]:
         """Bands in which a set of n words can meet a partner: its own, and those of smaller partners."""
         least = -((-n * self.j.numerator) // self.j.denominator)
@@ -88,7 +94,7 @@ class Bands:
 
 
 def signatures(batch_words: list[list[str]], bands: Bands, cache: dict[str, int]) -> list[bytes]:
-    """For each non-empty word list: 256 parity bits, then the block parities of each of its bands, as 64-bit words."""
+    """For each non-empty word list: the parity of the set, then the block parities of each of its bands, as 64-bit words."""
     n = np.array([len(w) for w in batch_words], np.int64)
     flat = np.empty(int(n.sum()), np.uint64)
     k = 0
@@ -107,7 +113,8 @@ def signatures(batch_words: list[list[str]], bands: Bands, cache: dict[str, int]
     bit = np.uint64(1) << ((flat >> np.uint64(10)) & np.uint64(63))
     part = (flat >> np.uint64(20)).astype(np.int64)
     of = {int(s): bands.of(int(s)) for s in np.unique(n)}
-    out = [[fp[i].tobytes()] for i in range(len(n))]
+    wide = {s: bands.width(of[s][-1]) for s in of}
+    out = [[fold(fp[i], wide[int(s)]).tobytes()] for i, s in enumerate(n)]
     wanted: dict[int, list[int]] = {}
     for i, s in enumerate(n):
         for b in of[int(s)]:
@@ -124,13 +131,24 @@ def signatures(batch_words: list[list[str]], bands: Bands, cache: dict[str, int]
     return [b"".join(x) for x in out]
 
 
-def leaves(sig: bytes, n: int, bands: Bands) -> list[tuple[int, int, int]]:
-    """(band, block, parity) of each trie that the signature belongs to."""
-    words = np.frombuffer(sig, np.uint64)[FP_WORDS:].view(np.int64).tolist()
-    out, k = [], 0
-    for b in bands.of(n):
+def fold(fp: np.ndarray, width: int) -> np.ndarray:
+    """The same parity over fewer bits; sets that differ in d words still differ in at most d bits."""
+    while len(fp) > width:
+        fp = fp[: len(fp) // 2] ^ fp[len(fp) // 2 :]
+    return fp
+
+
+def leaves(sig: bytes, n: int, bands: Bands) -> list[tuple[int, int, int, bytes]]:
+    """(band, block, block parity, whole parity) of each trie that the signature belongs to."""
+    mine = bands.of(n)
+    words = np.frombuffer(sig, np.uint64)
+    k = bands.width(mine[-1])
+    fp, bits = words[:k], words.view(np.int64).tolist()
+    out = []
+    for b in mine:
+        folded = fold(fp, bands.width(b)).tobytes()
         for i in range(bands.blocks(b)):
-            out.append((b, i, words[k]))
+            out.append((b, i, bits[k], folded))
             k += 1
     return out
 
@@ -138,7 +156,7 @@ def leaves(sig: bytes, n: int, bands: Bands) -> list[tuple[int, int, int]]:
 def trie_join(keys: np.ndarray, sizes: np.ndarray, split: int | None, bands: Bands, band: int) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of rows of keys within both budgets; with split, only pairs of a row before it and one from it on.
 
-    keys: uint64 [n, 1 + FP_WORDS], first the block's parity, in lexicographic order within each side.
+    keys: uint64 [n, 1 + width], first the block's parity, in lexicographic order within each side.
     """
     n, total = len(keys), bands.worst(band)
     ones: dict[int, np.ndarray] = {}
@@ -214,7 +232,7 @@ def trie_join(keys: np.ndarray, sizes: np.ndarray, split: int | None, bands: Ban
 class NearDuplicates:
     """Documents, their classes of equal word sets, and the links between classes.
 
-    docs: one row per distinct (id, group, word set): `_id`, `_group`, `_class` BINARY(16), `_n`, `_sig`.
+    docs: one row per input row with words: `_id`, `_group`, `_class` BINARY(16), `_n`, `_sig`.
     links(): one row per pair of different classes with similarity >= threshold: `_group`, `_a`, `_b` (class), `similarity`.
     Rows whose text is null, has no empty line or no words after it take no part. Only pairs of one `group` value count; a
     null group is a group of its own. Repeated rows count once; an id with several texts has a row for each. Other columns
@@ -224,31 +242,39 @@ class NearDuplicates:
     def __init__(self, df: DataFrame, id_col: str, text_col: str, group_col: str, threshold: float = 0.8):
         self.threshold, self.bands = threshold, Bands(threshold)
         self.source = df.select(F.col(id_col).cast("string").alias("_id"), F.col(group_col).cast("string").alias("_group"), F.col(text_col).cast("string").alias("_text")).filter("_id IS NOT NULL AND _text IS NOT NULL")
-        self.docs = materialize(self.source.mapInArrow(_describe(threshold), "_id string, _group string, _class binary, _n int, _sig binary").dropDuplicates(["_id", "_group", "_class"]), "neardup")
+        self.docs = materialize(self.source.mapInArrow(_describe(threshold), "_id string, _group string, _class binary, _n int, _sig binary"), "neardup")
+
+    def members(self) -> DataFrame:
+        """Each id's classes, once: `_group`, `_class`, `_id`."""
+        return self.docs.select("_group", "_class", "_id").distinct()
 
     def candidates(self) -> DataFrame:
-        """Pairs of class representatives within the Hamming budgets: `_group`, `_a_id`, `_b_id`, `_a`, `_b`."""
-        reps = self.docs.groupBy("_group", "_class").agg(F.min(F.struct("_id", "_n", "_sig")).alias("r")).select("_group", "_class", "r._n", "r._sig", "r._id")
-        rows = reps.mapInArrow(_explode(self.threshold), "_group string, _class binary, _id string, _n int, _band int, _block int, _bits bigint, _fp binary")
+        """Pairs of classes within the Hamming budgets, each once: `_group`, `_a`, `_b`."""
+        reps = self.docs.groupBy("_group", "_class").agg(F.first("_n").alias("_n"), F.first("_sig").alias("_sig"))
         heavy = self.docs.groupBy("_group", "_n").agg(F.count(F.lit(1)).alias("c"))
         heavy = heavy.mapInPandas(_band_counts(self.threshold), "_g string, _band2 int, c bigint").groupBy("_g", "_band2").agg(F.sum("c").alias("_c"))
-        heavy = heavy.filter(F.col("_c") > LEAVES)
-        rows = rows.join(heavy, F.col("_group").eqNullSafe(F.col("_g")) & (F.col("_band") == F.col("_band2")), "left").drop("_g", "_band2")
-        q = F.least(F.lit(16), F.ceil(F.log2(F.coalesce(F.col("_c"), F.lit(1)) / F.lit(float(LEAVES))))).cast("int")
-        rows = rows.withColumn("_q", F.greatest(F.lit(0), q)).drop("_c")
-        coarse = "aggregate(sequence(0, greatest(_q - 1, 0)), 0, (a, j) -> a + IF(j < _q, shiftleft(CAST(aggregate(sequence(0, (63 - j) div greatest(_q, 1)), 0L, (p, k) -> p ^ (shiftright(_bits, CAST(j + k * greatest(_q, 1) AS INT)) & 1L)) AS INT), j), 0))"
-        rows = rows.withColumn("_u", F.expr(f"IF(_q = 0, 0, {coarse})"))
-        rows = rows.withColumn("_flip", F.explode(F.expr(f"IF(_q = 0, array(0), filter(sequence(0, shiftleft(1, _q) - 1), x -> bit_count(x) <= {ERRORS}))")))
-        rows = rows.withColumn("_v", F.col("_u").bitwiseXOR(F.col("_flip"))).withColumn("_lo", F.least("_u", "_v")).withColumn("_hi", F.greatest("_u", "_v"))
-        pairs = rows.groupBy("_group", "_band", "_block", "_lo", "_hi").applyInPandas(_join(self.threshold), "_group string, _a_id string, _b_id string, _a binary, _b binary")
-        return pairs.dropDuplicates(["_group", "_a", "_b"])
+        heavy = materialize(heavy.filter(F.col("_c") > LEAVES), "neardup-heavy")
+        rows = reps.mapInArrow(_explode(self.threshold), "_group string, _class binary, _n int, _band int, _block int, _bits bigint, _fp binary")
+        found = heavy.count()
+        if not found:
+            rows = rows.withColumn("_u", F.lit(0)).withColumn("_lo", F.lit(0)).withColumn("_hi", F.lit(0))
+        else:
+            rows = _node_pairs(rows, F.broadcast(heavy) if found <= BROADCAST_ROWS else heavy)
+        pairs = rows.groupBy("_group", "_band", "_block", "_lo", "_hi").applyInPandas(_join(self.threshold), "_group string, _a binary, _b binary")
+        return pairs.distinct()
 
     def links(self) -> DataFrame:
-        """Verified links between classes, each once, with the exact similarity."""
+        """Verified links between classes, each once, with the exact similarity.
+
+        Texts of candidate classes are fetched by a merge join at every size, so small and large inputs run alike.
+        """
         pairs = materialize(self.candidates(), "neardup-candidates")
-        ids = pairs.select("_group", F.col("_a_id").alias("_id")).union(pairs.select("_group", F.col("_b_id").alias("_id"))).distinct()
-        ids = ids.select(F.col("_group").alias("_g"), F.col("_id").alias("_i"))
-        texts = self.source.join(ids, F.col("_group").eqNullSafe(F.col("_g")) & (F.col("_id") == F.col("_i")), "left_semi")
+        release(pairs)
+        cls = pairs.select("_group", F.col("_a").alias("_class")).union(pairs.select("_group", F.col("_b").alias("_class"))).distinct()
+        cls = cls.select(F.col("_group").alias("_g"), F.col("_class").alias("_k"))
+        ids = self.docs.join(cls, F.col("_group").eqNullSafe(F.col("_g")) & (F.col("_class") == F.col("_k"))).groupBy("_group", "_class").agg(F.min("_id").alias("_id"))
+        ids = ids.select(F.col("_group").alias("_g"), F.col("_id").alias("_i")).distinct()
+        texts = self.source.join(ids.hint("merge"), F.col("_group").eqNullSafe(F.col("_g")) & (F.col("_id") == F.col("_i")), "left_semi")
         words = texts.mapInArrow(_words, "_group string, _class binary, _words array<bigint>").dropDuplicates(["_group", "_class"])
         a = words.select(F.col("_group").alias("_ga"), F.col("_class").alias("_ca"), F.col("_words").alias("_wa"))
         b = words.select(F.col("_group").alias("_gb"), F.col("_class").alias("_cb"), F.col("_words").alias("_wb"))
@@ -259,6 +285,18 @@ class NearDuplicates:
         return both.filter(F.col("_i") * j.denominator >= F.col("_u") * j.numerator).select("_group", "_a", "_b", (F.col("_i") / F.col("_u")).alias("similarity"))
 
 
+def _node_pairs(rows: DataFrame, heavy: DataFrame) -> DataFrame:
+    """Send the leaves of heavy tries to each pair of top nodes they belong to; heavy: `_g`, `_band2`, `_c` leaves."""
+    rows = rows.join(heavy, F.col("_group").eqNullSafe(F.col("_g")) & (F.col("_band") == F.col("_band2")), "left").drop("_g", "_band2")
+    q = F.least(F.lit(16), F.ceil(F.log2(F.coalesce(F.col("_c"), F.lit(1)) / F.lit(float(LEAVES))))).cast("int")
+    rows = rows.withColumn("_q", F.greatest(F.lit(0), q)).drop("_c")
+    parity = "CAST(aggregate(sequence(0, (63 - j) div _q), 0L, (p, k) -> p ^ (shiftright(_bits, CAST(j + k * _q AS INT)) & 1L)) AS INT)"
+    rows = rows.withColumn("_u", F.expr(f"IF(_q = 0, 0, aggregate(sequence(0, greatest(_q, 1) - 1), 0, (a, j) -> a + shiftleft({parity}, j)))"))
+    rows = rows.withColumn("_flip", F.explode(F.expr(f"IF(_q = 0, array(0), filter(sequence(0, shiftleft(1, _q) - 1), x -> bit_count(x) <= {ERRORS}))")))
+    rows = rows.withColumn("_v", F.col("_u").bitwiseXOR(F.col("_flip"))).withColumn("_lo", F.least("_u", "_v")).withColumn("_hi", F.greatest("_u", "_v"))
+    return rows.drop("_q", "_flip", "_v")
+
+
 def _describe(threshold: float):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, cache = Bands(threshold), {}
@@ -289,14 +327,14 @@ def _explode(threshold: float):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(threshold)
         for batch in it:
-            group, cls, n, sig, ids = (batch.column(c).to_pylist() for c in ("_group", "_class", "_n", "_sig", "_id"))
+            group, cls, n, sig = (batch.column(c).to_pylist() for c in ("_group", "_class", "_n", "_sig"))
             rows = [leaves(s, k, bands) for s, k in zip(sig, n)]
             each = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
             flat = [x for r in rows for x in r]
             take = pa.array(each)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(group, pa.string()).take(take), pa.array(cls, pa.binary()).take(take), pa.array(ids, pa.string()).take(take), pa.array(n, pa.int32()).take(take), pa.array([x[0] for x in flat], pa.int32()), pa.array([x[1] for x in flat], pa.int32()), pa.array([x[2] for x in flat], pa.int64()), pa.array([s[: 8 * FP_WORDS] for s in sig], pa.binary()).take(take)],
-                names=["_group", "_class", "_id", "_n", "_band", "_block", "_bits", "_fp"],
+                [pa.array(group, pa.string()).take(take), pa.array(cls, pa.binary()).take(take), pa.array(n, pa.int32()).take(take), pa.array([x[0] for x in flat], pa.int32()), pa.array([x[1] for x in flat], pa.int32()), pa.array([x[2] for x in flat], pa.int64()), pa.array([x[3] for x in flat], pa.binary())],
+                names=["_group", "_class", "_n", "_band", "_block", "_bits", "_fp"],
             )
 
     return run
@@ -317,9 +355,10 @@ def _join(threshold: float):
         bands = Bands(threshold)
         group, band, _, lo, hi = key
         band = int(band)
-        keys = np.empty((len(pdf), 1 + FP_WORDS), np.uint64)
+        width = bands.width(band)
+        keys = np.empty((len(pdf), 1 + width), np.uint64)
         keys[:, 0] = pdf["_bits"].to_numpy(np.int64).view(np.uint64)
-        keys[:, 1:] = np.frombuffer(b"".join(pdf["_fp"]), np.uint64).reshape(-1, FP_WORDS)
+        keys[:, 1:] = np.frombuffer(b"".join(pdf["_fp"]), np.uint64).reshape(-1, width)
         side = (pdf["_u"].to_numpy() != lo).astype(np.int64)
         order = np.lexsort([*keys.T[::-1], side])
         keys, side, sizes = keys[order], side[order], pdf["_n"].to_numpy(np.int64)[order]
@@ -332,10 +371,10 @@ def _join(threshold: float):
         start = np.array(bands.starts)
         mine = (np.searchsorted(start, low, "right") - 1 == band) & (low * bands.j.denominator >= high * bands.j.numerator)
         a, b = order[a[mine]], order[b[mine]]
-        ids, cls = pdf["_id"].to_numpy(object), pdf["_class"].to_numpy(object)
+        cls = pdf["_class"].to_numpy(object)
         swap = np.array([x > y for x, y in zip(cls[a], cls[b])], bool) if len(a) else np.empty(0, bool)
         a, b = np.where(swap, b, a), np.where(swap, a, b)
-        return pd.DataFrame({"_group": pd.Series([group] * len(a), dtype=object), "_a_id": ids[a], "_b_id": ids[b], "_a": cls[a], "_b": cls[b]})
+        return pd.DataFrame({"_group": pd.Series([group] * len(a), dtype=object), "_a": cls[a], "_b": cls[b]})
 
     return run
 
@@ -346,7 +385,7 @@ def near_duplicate_pairs(df: DataFrame, id_col: str = "chunk_id", text_col: str
     Copies are expanded; use near_duplicate_groups where classes may stay compact. Cases: see NearDuplicates.
     """
     nd = NearDuplicates(df, id_col, text_col, group_col, threshold)
-    member = nd.docs.select("_group", "_class", "_id")
+    member = nd.members()
     links = nd.links()
     a = member.select(F.col("_group").alias("_ga"), F.col("_class").alias("_ca"), F.col("_id").alias("x"))
     b = member.select(F.col("_group").alias("_gb"), F.col("_class").alias("_cb"), F.col("_id").alias("y"))
@@ -368,7 +407,7 @@ def near_duplicate_groups(df: DataFrame, id_col: str = "chunk_id", text_col: str
     """
     nd = NearDuplicates(df, id_col, text_col, group_col, threshold)
     key = F.md5(F.concat(F.coalesce(F.col("_group"), F.lit("")), F.lit("|"), F.hex("_class")))
-    docs = nd.docs.select("_id", key.alias("node"))
+    docs = nd.members().select("_id", key.alias("node"))
     links = nd.links().select(*[F.md5(F.concat(F.coalesce(F.col("_group"), F.lit("")), F.lit("|"), F.hex(c))).alias(c) for c in ("_a", "_b")])
     links = materialize(links, "neardup-links")
     degree = links.select(F.col("_a").alias("node")).union(links.select("_b")).groupBy("node").agg(F.count(F.lit(1)).alias("n"))
