@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, table
-from . import boilerplate, leakage, mixing, neardup, rankagg, splitting, truncation
+from . import boilerplate, leakage, matching, mixing, neardup, rankagg, splitting, truncation
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -27,6 +27,14 @@ def p2_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.near_duplicate_groups(table(spark, d, "chunk"))
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return matching.matched_chunks(table(spark, d, "chunk")).select("chunk_id_a", "chunk_id_b")
+
+
+def p3_confidence(spark: SparkSession, d: str) -> DataFrame:
+    return matching.matched_chunks(table(spark, d, "chunk"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return splitting.oversized(table(spark, d, "chunk"), table(spark, d, "doc_section"))
 
@@ -68,5 +76,5 @@ def p8_rates(spark: SparkSession, d: str) -> DataFrame:
     return truncation.truncation_rates(truncation.truncation_evidence(table(spark, d, "documents")))
 
 
-_ALL = (p1_found, p1_body, p2_found, p2_groups, p4_found, p4_pieces, p5_found, p5_ranking, p6_found, p7_mixture, p7_copies, p8_found, p8_rates)
+_ALL = (p1_found, p1_body, p2_found, p2_groups, p3_found, p3_confidence, p4_found, p4_pieces, p5_found, p5_ranking, p6_found, p7_mixture, p7_copies, p8_found, p8_rates)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
