@@ -82,7 +82,7 @@ def ending(text: str | None) -> tuple[str, str]:
         return BARE, last
     if alone and _LABEL.match(line) and len(line) <= 80 and not text.endswith((" ", ",")):
         return BARE, last
-    if len(lines) == 1 and len(line.split()) <= 8 and line[:1].isupper() and not text.endswith((" ", ",")):
+    if len(lines) == 1 and len(line.split()) <= 8 and line[:1].isupper() and not text.endswith((" ", ",")) and not re.search(r"[.!?`]", line):
         return BARE, last  # a title
     return CUT, last
 
