@@ -8,8 +8,8 @@ brings neighbours into one stream, so neither a site with a third of all pages n
 Three things follow from the shared lines of the whole corpus. A template that most of its pages on a site share is furniture
 there; one that is furniture on several sites, or is found on at least WIDE sites, is furniture everywhere, which serves
 sites with a single page. Authors share lines too (headings like "Notes", table heads, labelled notes): a short line that is mostly followed by prose in the same
-block is a heading. Titles that follow a list label of the furniture (related pages, contents) go with it. What stands
-before the page's own title line is not body.
+block is a heading. Titles that follow a list label of the furniture (related pages, contents) go with it, and so does a block of nothing but
+three or more titles. What stands before the page's own title line is not body.
 """
 
 from __future__ import annotations
@@ -26,9 +26,13 @@ from ..session import materialize
 NEIGHBOURS = 2
 WIDE = 3
 LONGEST = 1_500
-TITLE, PHRASE, HOST = "<T>", "<L>", "<H>"
+#: Blocks of one page that are handled in one piece; longer pages are compared piece by piece, each with its neighbours' pieces.
+PIECE = 1_000
+TITLE, PHRASE, HOST, CELL = "<T>", "<L>", "<H>", " ¦ "
 
 _PHRASE = re.compile(r"[A-Z][A-Za-z]*[a-z][A-Za-z]*(?: (?:and |of |the |for )?[A-Z][A-Za-z]*)+")
+_BARE = re.compile(rf"(?:The )?(?:{_PHRASE.pattern})$")
+_GAP = re.compile(r"\s*\t\s*|\s{2,}")
 _DIGITS = re.compile(r"\d+")
 _SPACE = re.compile(r"\s+")
 _NOTE = re.compile(r"^(?:Note|Tip|Important|Caution|Warning|Hint|Example)s?: \S")
@@ -36,16 +40,20 @@ _PROSE = re.compile(r"[.!?:;]$|`")
 _SPLIT = re.compile(r"\s*(?:[|·»«›•/*,;→←–]|\s{2,}|\t)\s*")
 
 
-def template(line: str, host: str, title: str) -> str:
-    """The line with what differs between the pages of a site replaced; empty for a blank line."""
-    t = _SPACE.sub(" ", line).strip()
+def template(line: str, host: str, title: str) -> tuple[str, bool]:
+    """The line with what differs between the pages of a site replaced, empty for a blank line; and whether it is nothing but
+    a title. A bare title is its own template. Cells set apart by tabs or wide gaps are treated one by one."""
+    cells = [_SPACE.sub(" ", c).strip() for c in _GAP.split(line.strip())]
+    t = CELL.join(c for c in cells if c)
     if title and t == title:
-        return TITLE
+        return TITLE, True
+    if len(cells) == 1 and _BARE.match(t):
+        return t, True
     if host:
         t = t.replace(host, HOST)
     if title and title in t:
         t = t.replace(title, PHRASE)
-    return _DIGITS.sub("#", _PHRASE.sub(PHRASE, t))
+    return _DIGITS.sub("#", _PHRASE.sub(PHRASE, t)), False
 
 
 def lcs(a: list[str], b: list[str]) -> list[tuple[int, int]]:
@@ -85,38 +93,33 @@ def _lcs(a: list[str], b: list[str], ia: list[int], ib: list[int]) -> list[tuple
     return out + tail
 
 
-def _titled(line: str, tpl: str) -> bool:
-    """A line that is nothing but a title."""
-    return tpl in (PHRASE, TITLE) or tpl.replace("The " + PHRASE, PHRASE) == PHRASE
-
-
 class _Page:
-    def __init__(self, host: str, slug: str, title: str, blocks: list[tuple]):
-        self.host, self.slug = host, slug
+    def __init__(self, host: str, piece: int, slug: str, title: str, blocks: list[tuple]):
+        self.host, self.piece, self.slug = host, piece, slug
         self.rows, self.tpl = [], []
         for block_id, text in blocks:
             lines = text.split("\n")
             tpls = [template(x, host, title) for x in lines]
-            for k, (line, t) in enumerate(zip(lines, tpls)):
+            for k, (line, (t, bare)) in enumerate(zip(lines, tpls)):
                 if t:
-                    nxt = next(((lines[j], tpls[j]) for j in range(k + 1, len(lines)) if tpls[j]), None)
-                    then = "" if nxt is None else "title" if _titled(*nxt) else "prose" if len(nxt[0].split()) > 3 and _PROSE.search(nxt[0].strip()) else "other"
-                    self.rows.append((block_id, k + 1, line.strip(), t, then))
+                    nxt = next(((lines[j], tpls[j][1]) for j in range(k + 1, len(lines)) if tpls[j][0]), None)
+                    then = "" if nxt is None else "title" if nxt[1] else "prose" if len(nxt[0].split()) > 3 and _PROSE.search(nxt[0].strip()) else "other"
+                    self.rows.append((block_id, k + 1, line.strip(), t, bare, then))
                     self.tpl.append(t)
         self.shared = [False] * len(self.rows)
         own = [i for i, t in enumerate(self.tpl) if t == TITLE]
-        self.body_from = own[0] if own else 0
+        self.body_from = own[0] if own and not piece else 0
 
     def meet(self, other: _Page) -> None:
-        a, b = [t if t not in (PHRASE, TITLE) else f"a{i}" for i, t in enumerate(self.tpl)], [t if t not in (PHRASE, TITLE) else f"b{i}" for i, t in enumerate(other.tpl)]
+        a, b = [t if t != TITLE else f"a{i}" for i, t in enumerate(self.tpl)], [t if t != TITLE else f"b{i}" for i, t in enumerate(other.tpl)]
         for i, j in lcs(a, b):
             self.shared[i] = other.shared[j] = True
 
     def out(self) -> list[tuple]:
-        return [(self.slug, self.host, b, k, line, t, then, s, i < self.body_from) for i, ((b, k, line, t, then), s) in enumerate(zip(self.rows, self.shared))]
+        return [(self.slug, self.host, b, k, line, t, bare, then, s, i < self.body_from) for i, ((b, k, line, t, bare, then), s) in enumerate(zip(self.rows, self.shared))]
 
 
-_LINES = "slug string, host string, block_id bigint, line_no int, line string, tpl string, next string, shared boolean, early boolean"
+_LINES = "slug string, host string, block_id bigint, line_no int, line string, tpl string, titled boolean, next string, shared boolean, early boolean"
 
 
 def _difference(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -124,9 +127,9 @@ def _difference(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     waiting: list[_Page] = []
     for pdf in it:
         rows = []
-        for host, slug, title, blocks in zip(pdf["host"], pdf["slug"], pdf["title"], pdf["blocks"]):
-            page = _Page(host or "", slug, title or "", [(b["block_id"], b["text"]) for b in blocks])
-            if waiting and waiting[0].host != page.host:
+        for host, piece, slug, title, blocks in zip(pdf["host"], pdf["piece"], pdf["slug"], pdf["title"], pdf["blocks"]):
+            page = _Page(host or "", int(piece), slug, title or "", [(b["block_id"], b["text"]) for b in blocks])
+            if waiting and (waiting[0].host, waiting[0].piece) != (page.host, page.piece):
                 for p in waiting:
                     rows += p.out()
                 waiting = []
@@ -159,17 +162,20 @@ def page_lines(blocks: DataFrame, manifest: DataFrame) -> DataFrame:
     one = one.groupBy("block_id").agg(F.min(F.struct("slug", "block_ord", "text", "url")).alias("b")).select("block_id", "b.*")
     m = manifest.filter("slug IS NOT NULL").groupBy("slug").agg(F.max(F.struct(F.coalesce("fetched_at", F.lit("")), F.when(F.trim("title") != "", F.trim(F.regexp_replace("title", r"\s+", " "))).alias("title"))).alias("t"), F.max(F.when(F.trim("title") != "", F.struct("fetched_at", F.trim(F.regexp_replace("title", r"\s+", " ")).alias("title")))).alias("named"), F.max("url").alias("m_url"))
     m = m.select("slug", F.col("named.title").alias("title"), "m_url")
-    pages = one.groupBy("slug").agg(F.sort_array(F.collect_list(F.struct("block_ord", "block_id", "text"))).alias("blocks"), F.max("url").alias("b_url"))
+    piece = F.floor(F.coalesce("block_ord", F.lit(0)) / F.lit(PIECE)).cast("int")
+    urls = one.groupBy("slug").agg(F.max("url").alias("b_url"))
+    pages = one.groupBy("slug", piece.alias("piece")).agg(F.sort_array(F.collect_list(F.struct("block_ord", "block_id", "text"))).alias("blocks"))
     host, path = address(F.coalesce("m_url", "b_url"))
-    pages = pages.join(m, "slug", "left").select(F.coalesce(F.nullif(host, F.lit("")), F.concat(F.lit("?"), F.coalesce("slug", F.lit("")))).alias("host"), path.alias("path"), F.coalesce("slug", F.lit("")).alias("slug"), "title", "blocks")
-    ordered = pages.repartitionByRange("host", "path", "slug").sortWithinPartitions("host", "path", "slug")
-    lines = materialize(ordered.select("host", "slug", "title", "blocks").mapInPandas(_difference, _LINES), "lines")
-
-    on_page = lines.groupBy("host", "tpl", "slug").agg(F.max("shared").alias("shared"), F.count(F.lit(1)).alias("n"), F.sum((F.col("next") == "prose").cast("int")).alias("prose"), F.sum((F.col("next") == "title").cast("int")).alias("titles"))
-    on_site = on_page.groupBy("host", "tpl").agg(F.count(F.lit(1)).alias("pages"), F.sum(F.col("shared").cast("int")).alias("hits"), F.sum("n").alias("n"), F.sum("prose").alias("prose"), F.sum("titles").alias("titles"))
-    on_site = on_site.withColumn("site", (F.col("pages") >= 2) & (F.col("hits") * 2 >= F.col("pages")))
-    overall = on_site.groupBy("tpl").agg(F.sum(F.col("site").cast("int")).alias("sites"), F.count(F.lit(1)).alias("hosts"), (F.sum("prose") / F.sum("n")).alias("prose_share"), (F.sum("titles") / F.sum("n")).alias("title_share"))
-    plain = ~F.col("tpl").isin(PHRASE, TITLE, "The " + PHRASE) & ~F.col("tpl").startswith("|") & ~F.col("tpl").startswith("- ") & ~F.col("tpl").rlike(_NOTE.pattern)
+    told = urls.join(m, "slug", "left").select(F.col("slug").alias("_s"), "title", "m_url", "b_url")
+    pages = pages.join(told, F.col("slug").eqNullSafe(F.col("_s"))).select("piece", F.coalesce(F.nullif(host, F.lit("")), F.concat(F.lit("?"), F.coalesce("slug", F.lit("")))).alias("host"), path.alias("path"), F.coalesce("slug", F.lit("")).alias("slug"), "title", "blocks")
+    ordered = pages.repartitionByRange("host", "piece", "path", "slug").sortWithinPartitions("host", "piece", "path", "slug")
+    lines = materialize(ordered.select("host", "piece", "slug", "title", "blocks").mapInPandas(_difference, _LINES), "lines")
+
+    on_page = lines.groupBy("host", "tpl", "slug").agg(F.max("titled").alias("titled"), F.max("shared").alias("shared"), F.count(F.lit(1)).alias("n"), F.sum((F.col("next") == "prose").cast("int")).alias("prose"), F.sum((F.col("next") == "title").cast("int")).alias("titles"))
+    on_site = on_page.groupBy("host", "tpl").agg(F.max("titled").alias("titled"), F.count(F.lit(1)).alias("pages"), F.sum(F.col("shared").cast("int")).alias("hits"), F.sum("n").alias("n"), F.sum("prose").alias("prose"), F.sum("titles").alias("titles"))
+    on_site = on_site.withColumn("site", (F.col("pages") >= F.when(F.col("titled"), 3).otherwise(2)) & (F.col("hits") * 2 >= F.col("pages")))
+    overall = on_site.groupBy("tpl").agg(F.sum(F.col("site").cast("int")).alias("sites"), F.sum((~F.col("titled")).cast("int")).alias("hosts"), (F.sum("prose") / F.sum("n")).alias("prose_share"), (F.sum("titles") / F.sum("n")).alias("title_share"))
+    plain = (F.col("tpl") != TITLE) & ~F.col("tpl").startswith("|") & ~F.col("tpl").startswith("- ") & ~F.col("tpl").rlike(_NOTE.pattern)
     heading = (F.col("prose_share") >= 0.5) & (F.size(F.split("tpl", " ")) <= 4)
     overall = materialize(overall.filter(((F.col("sites") > 0) | (F.col("hosts") >= WIDE)) & plain & ~heading).select("tpl", "sites", "hosts", "title_share"), "templates")
     here = on_site.filter("site").select("host", "tpl", F.lit(True).alias("here"))
@@ -181,10 +187,11 @@ def page_lines(blocks: DataFrame, manifest: DataFrame) -> DataFrame:
     by_block = Window.partitionBy("block_id").orderBy("line_no")
     row = (F.col("links") == 2) | ((F.col("links") == 1) & ((F.lag("links").over(by_block) > 0) | (F.lead("links").over(by_block) > 0)))
     marked = marked.withColumn("_row", F.coalesce(row, F.lit(False))).withColumn("known", F.col("known") | (F.col("_row") & plain))
-    marked = marked.withColumn("titled", F.col("tpl").isin(PHRASE, "The " + PHRASE))
-    label = F.when(~F.col("titled") | (F.col("tpl") == TITLE), F.struct("known", (F.coalesce("title_share", F.lit(0.0)) >= 0.4).alias("list")))
+    label = F.when(~F.col("titled") | F.col("known") | (F.col("tpl") == TITLE), F.struct("known", (F.coalesce("title_share", F.lit(0.0)) >= 0.4).alias("list")))
     before = F.last(label, ignorenulls=True).over(Window.partitionBy("block_id").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1))
-    listed = F.col("titled") & F.coalesce(before["known"] & before["list"], F.lit(False))
+    listed = F.col("titled") & (F.col("tpl") != TITLE) & F.coalesce(before["known"] & before["list"], F.lit(False))
+    whole = Window.partitionBy("block_id")
+    listed = listed | ((F.count(F.lit(1)).over(whole) >= 3) & (F.sum((F.col("titled") & (F.col("tpl") != TITLE)).cast("int")).over(whole) == F.count(F.lit(1)).over(whole)))
     return marked.withColumn("_l", listed).withColumn("furniture", F.col("known") | F.col("_l") | F.col("early")).select("slug", "host", "block_id", "line_no", "line", "tpl", "furniture")
 
 
