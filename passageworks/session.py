@@ -40,6 +40,9 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_written: list[str] = []
+
+
 def materialize(df: DataFrame, hint: str = "t") -> DataFrame:
     """Cut the lineage: write df once as Parquet into the shared folder and read it back.
 
@@ -47,6 +50,7 @@ def materialize(df: DataFrame, hint: str = "t") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{hint}-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -55,3 +59,12 @@ def release(df: DataFrame) -> None:
     """Let the driver notice unreachable plans now, so the shuffle files of steps already written out leave the disks."""
     gc.collect()
     df.sparkSession.sparkContext._jvm.System.gc()
+
+
+def drop_materialized(spark: SparkSession) -> int:
+    """Delete what materialize has written in this process; call it when no frame built on it is needed any more."""
+    n = 0
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        n += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
