@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .functions.text import preview
 from .operators import chunking, html, metrics, retrieval, store
-from .session import materialize
+from .session import materialize, ship
 from .sources.records import Corpus, read_vector_cache
 
 QUERY_PREFIX = "Represent this sentence for searching relevant passages: "
@@ -17,6 +17,7 @@ QUERY_PREFIX = "Represent this sentence for searching relevant passages: "
 
 class Engine:
     def __init__(self, spark: SparkSession, root: str, corpus: str = "slice", embed: Callable[[Column], Column] | None = None, chunker: chunking.Chunker | None = None):
+        ship(spark)
         self.spark, self.corpus = spark, Corpus(root, corpus)
         self.embed = embed or store.random_hyperplane_embedding(64)
         self.chunker = chunker

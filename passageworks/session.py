@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import gc
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,3 +70,23 @@ def drop_materialized(spark: SparkSession) -> int:
         path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
         n += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return n
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that no node needs it installed."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="passageworks-code-"), "passageworks.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(here):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("passageworks", os.path.relpath(full, here)))
+    spark.sparkContext.addPyFile(out)
+    _shipped.add(app)
