@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import title_key
+from ..functions.identity import pdf_doc_id
+from ..functions.text import parameter_anchor, split_section_number, title_key
 
 TOP, BOTTOM = 0.065, 0.925
 GAP_FACTOR, GAP_DEFAULT = 1.55, 12.0
@@ -94,7 +95,8 @@ def split_parameters(lines: DataFrame, by: str = "doc") -> DataFrame:
 
 
 def outline_ends(outline: DataFrame, pages: int, doc: str = "doc") -> DataFrame:
-    """outline (doc, index, level, title, page) with end_page (page of the next entry of the same or a higher level, else `pages`) and path.
+    """outline (doc, index, level, title, page) with end_page (page of the next entry of the same or a higher level, else `pages`), end_index (that
+    entry, null at the end) and path.
 
     The next entry is found per level: for each of the few levels up to the entry's own, the nearest later index of that level by a
     window, and the least of them.
@@ -112,7 +114,7 @@ def outline_ends(outline: DataFrame, pages: int, doc: str = "doc") -> DataFrame:
     for n in range(1, top + 1):
         over = F.greatest(F.lit(-1), *[F.coalesce(F.col(f"_u{m}.index"), F.lit(-1)) for m in range(1, n)]) if n > 1 else F.lit(-1)
         up.append(F.when((F.lit(n) <= F.col("level")) & (F.col(f"_u{n}.index") > over), F.col(f"_u{n}.title")))
-    return e.withColumn("end_page", end).withColumn("path", F.array_compact(F.array(*up))).drop(*[f"_n{n}" for n in range(1, top + 1)], *[f"_u{n}" for n in range(1, top + 1)])
+    return e.withColumn("end_page", end).withColumn("end_index", F.array_min(after)["index"]).withColumn("path", F.array_compact(F.array(*up))).drop(*[f"_n{n}" for n in range(1, top + 1)], *[f"_u{n}" for n in range(1, top + 1)])
 
 
 def locate_headings(outline: DataFrame, lines: DataFrame) -> DataFrame:
@@ -163,5 +165,51 @@ def select_roots(entries: DataFrame, outermost: bool = True) -> DataFrame:
     return e.filter("NOT _hit").select(*entries.columns)
 
 
+def extract_documents(lines: DataFrame, outline: DataFrame, pages: int, wanted: DataFrame | None = None, outermost: bool = True, version: str = "18") -> DataFrame:
+    """Documents of a laid-out manual: one per selected outline entry, with a section per entry below it, per heading the outline
+    lacks, and per parameter; sections are in reading order.
+
+    Every outline entry is a half-open interval that begins at its heading, so a line belongs to one section only; lines are
+    assigned by one sorted pass. Each later step is a window over the lines of one section.
+    """
+    o = outline_ends(outline, pages)
+    roots = select_roots(o if wanted is None else matched_entries(o, wanted), outermost)
+    root = roots.select("doc", "index", F.struct(F.col("index").alias("root"), "end_index", F.col("title").alias("root_title"), F.col("page").alias("root_page"), F.col("end_page").alias("root_end")).alias("r"))
+    w = Window.partitionBy("doc").orderBy("index").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    member = o.join(root, ["doc", "index"], "left").withColumn("r", F.last("r", ignorenulls=True).over(w))
+    member = member.filter("r IS NOT NULL AND (r.end_index IS NULL OR index < r.end_index)")
+    starts = locate_headings(outline, lines)
+    e = member.join(starts.select("doc", "index", "y"), ["doc", "index"]).select("doc", "index", "level", "title", "path", F.col("page").alias("e_page"), "y", "r")
+    own = assign_lines(lines, starts).join(e, ["doc", "index"])
+    own = own.filter(~((F.col("page") == F.col("e_page")) & (F.col("y0") == F.col("y")) & (title_key(F.col("text")) != "") & F.startswith(title_key(F.col("title")), title_key(F.col("text")))))
+    own = own.withColumn("_s", F.concat_ws("|", "doc", F.col("index").cast("string")))
+    own = split_headings(own, "_s").withColumnRenamed("part", "h").withColumn("_s", F.concat_ws("|", "_s", F.col("h").cast("string")))
+    heads = own.filter("heading").groupBy("_s").agg(F.min_by("text", F.struct("page", "y0")).alias("sub"))
+    own = split_at(own.filter("NOT heading"), starts_parameter(), "_s").withColumn("_p", F.concat_ws("|", "_s", F.col("part").cast("string")))
+    names = own.filter((F.col("part") > 0) & starts_parameter()).groupBy("_p").agg(F.first(F.trim("text")).alias("param"))
+    body = blocks(own.filter(~((F.col("part") > 0) & starts_parameter())), "_p").groupBy("_p").agg(F.array_sort(F.collect_list(F.struct("block", F.struct("kind", F.when(F.col("kind") == "code", F.concat(F.lit("```\n"), F.col("text"), F.lit("\n```"))).otherwise(F.regexp_replace("text", "\n", " ")).alias("text"), F.lit(None).cast("string").alias("lang")).alias("b")))).alias("bs"))
+    meta = own.groupBy("_p", "_s", "doc", "index", "h", "part").agg(F.first("level").alias("level"), F.first("title").alias("title"), F.first("path").alias("path"), F.min("page").alias("page"), F.first("r").alias("r"))
+    s = meta.join(heads, "_s", "left").join(names, "_p", "left").join(body, "_p", "left").filter((F.col("part") == 0) | F.col("bs").isNotNull())
+    number = split_section_number(F.coalesce("param", "sub", "title"))
+    path = F.concat(F.transform("path", lambda p: split_section_number(p)["title"]), F.array_compact(F.array(split_section_number(F.col("sub"))["title"], F.col("param"))))
+    section = F.struct(
+        number["title"].alias("title"), (F.col("level") + F.col("sub").isNotNull().cast("int") + F.col("param").isNotNull().cast("int")).alias("level"), path.alias("path"),
+        F.coalesce(F.transform("bs", lambda b: b["b"]), F.array().cast("array<struct<kind:string,text:string,lang:string>>")).alias("blocks"),
+        F.when(F.col("param").isNotNull(), parameter_anchor(F.regexp_extract("param", PARAMETER, 1))).alias("anchor"), number["number"].alias("number"),
+        F.when(F.col("param").isNotNull(), "parameter").otherwise("section").alias("kind"), F.col("page").cast("int").alias("page"),
+    )
+    d = s.groupBy("doc", "r").agg(F.array_sort(F.collect_list(F.struct("index", "h", "part", section.alias("s")))).alias("x"))
+    title = split_section_number(F.col("r.root_title"))["title"]
+    return d.select(
+        pdf_doc_id(title_key(F.col("r.root_title")), F.col("r.root_page")).alias("doc_id"), F.lit("pdf").alias("source_format"), F.lit(version).alias("pg_version"), title.alias("title"),
+        F.transform("x", lambda v: v["s"]).alias("sections"), F.lit(None).cast("string").alias("source_url"), F.col("r.root_page").alias("page_start"), F.col("r.root_end").alias("page_end"), F.col("r.root").alias("ordinal"),
+    )
+
+
+def unmatched_titles(wanted: DataFrame, outline: DataFrame) -> DataFrame:
+    """Wanted titles that no outline entry has."""
+    return wanted.join(outline.select(title_key(F.col("title")).alias("key")), "key", "left_anti")
+
+
 def profile_fonts(spans: DataFrame) -> DataFrame:
     return spans.groupBy("font", "size").agg(F.sum(F.length("text")).alias("chars"))

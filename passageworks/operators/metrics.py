@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .retrieval import cosine
+
 CUTS = (5, 10, 20, 50)
 
 
@@ -60,3 +62,15 @@ def bucket(rank: Column) -> Column:
 
 def rank_buckets(ranks: DataFrame) -> DataFrame:
     return ranks.groupBy("config", bucket(F.col("first_rank")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def side_by_side(measured: DataFrame, configs: list[str], value: str = "recall_5") -> DataFrame:
+    """One row with a column per configuration."""
+    return measured.groupBy().pivot("config", configs).agg(F.first(value))
+
+
+def agreement(left: DataFrame, right: DataFrame, key: str = "item_id") -> DataFrame:
+    """How closely two sets of vectors of the same items agree: least cosine, greatest difference of a component, items."""
+    j = left.select(key, F.col("vector").alias("l")).join(right.select(key, F.col("vector").alias("r")), key)
+    delta = F.array_max(F.zip_with("l", "r", lambda a, b: F.abs(a.cast("double") - b.cast("double"))))
+    return j.agg(F.min(cosine(F.col("l"), F.col("r"))).alias("least_cosine"), F.max(delta).alias("greatest_difference"), F.count(F.lit(1)).alias("items"))

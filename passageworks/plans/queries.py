@@ -272,6 +272,18 @@ def root_selection(spark, d):
     return layout.select_roots(e, True).select("doc", "index", F.lit("outermost").alias("rule")).unionByName(layout.select_roots(e, False).select("doc", "index", F.lit("innermost").alias("rule")))
 
 
+@query
+def layout_documents(spark, d):
+    """Sections of the PDF build laid out as lines again, then parsed back with their outline."""
+    s = table(spark, d, "doc_section").filter("doc_id LIKE 'pdf:%' AND page IS NOT NULL").dropDuplicates(["section_id"])
+    s = s.withColumn("at", F.col("section_ord").cast("bigint") * 10_000_000 + F.col("section_id")).withColumn("blocks", F.filter(F.coalesce("blocks", F.array().cast("array<struct<kind:string,text:string,lang:string>>")), lambda b: F.coalesce(b["text"], F.lit("")) != ""))
+    head = s.select(F.col("doc_id").alias("doc"), "page", (F.col("at") * 1e-3).alias("y0"), F.lit(0.0).alias("x0"), F.col("title").alias("text"), F.lit(False).alias("mono"), F.lit(True).alias("heading"), F.lit(False).alias("starts_mono"))
+    b = s.select("doc_id", "page", "at", F.posexplode("blocks").alias("i", "b")).select("doc_id", "page", "at", "i", (F.col("b.kind") == "code").alias("mono"), F.posexplode(F.split("b.text", "\n")).alias("j", "text"))
+    body = b.select(F.col("doc_id").alias("doc"), "page", (F.col("at") * 1e-3 + (F.col("i") + 1) * 1e-5 + (F.col("j") + 1) * 1e-8).alias("y0"), F.lit(0.0).alias("x0"), "text", "mono", F.lit(False).alias("heading"), F.col("mono").alias("starts_mono"))
+    docs = layout.extract_documents(head.unionByName(body), _outline(spark, d), 5000)
+    return docs.select("doc_id", "title", F.size("sections").alias("n_sections"), "page_start", "page_end")
+
+
 # Retrieval
 
 

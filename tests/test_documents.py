@@ -149,6 +149,27 @@ def test_outline(spark):
     assert {r["title"] for r in layout.select_roots(e, False).collect()} == {"C", "D", "E"}
 
 
+def test_documents_of_a_layout(spark):
+    o = spark.createDataFrame([("m", 0, 1, "Chapter 1. Start", 1), ("m", 1, 2, "1.1. Settings", 1), ("m", 2, 1, "Chapter 2. End", 3)], "doc string, index long, level int, title string, page int")
+    t = [
+        (1, 10.0, "Chapter 1. Start", False, True, False), (1, 20.0, "Opening words", False, False, False), (1, 30.0, "1.1. Settings", False, True, False), (1, 40.0, "Before all.", False, False, False),
+        (1, 50.0, "work_mem (integer)", False, False, True), (1, 60.0, "Sets memory.", False, False, False), (2, 10.0, "An Extra Heading", False, True, False), (2, 20.0, "SELECT 1;", True, False, True), (2, 30.0, "SELECT 2;", True, False, True),
+        (3, 10.0, "Chapter 2. End", False, True, False), (3, 20.0, "Closing words", False, False, False),
+    ]
+    l = spark.createDataFrame([("m", p, y, 0.0, x, m, h, s) for p, y, x, m, h, s in t], "doc string, page int, y0 double, x0 double, text string, mono boolean, heading boolean, starts_mono boolean")  # noqa: E741
+    docs = {r["title"]: r for r in layout.extract_documents(l, o, 9).collect()}
+    assert set(docs) == {"Start", "End"} and docs["Start"]["doc_id"] == "pdf:start:p1" and docs["Start"]["page_end"] == 3
+    got = [(s["title"], s["kind"], s["anchor"], s["level"], [b["text"] for b in s["blocks"]]) for s in docs["Start"]["sections"]]
+    assert got == [
+        ("Start", "section", None, 1, ["Opening words"]), ("Settings", "section", None, 2, ["Before all."]), ("work_mem (integer)", "parameter", "GUC-WORK-MEM", 3, ["Sets memory."]),
+        ("An Extra Heading", "section", None, 3, ["```\nSELECT 1;\nSELECT 2;\n```"]),
+    ]
+    assert docs["Start"]["sections"][2]["path"] == ["Start", "Settings", "work_mem (integer)"] and docs["Start"]["sections"][1]["number"] == "1.1"
+    wanted = spark.createDataFrame([("settings", "start"), ("gone", None)], "key string, context string")
+    only = layout.extract_documents(l, o, 9, wanted).collect()
+    assert [r["title"] for r in only] == ["Settings"] and [r["key"] for r in layout.unmatched_titles(wanted, o).collect()] == ["gone"]
+
+
 def test_assign_lines(spark):
     starts = spark.createDataFrame([("d", 7, 1, 5.0), ("d", 8, 2, 1.0)], "doc string, index long, page int, y double")
     rows = [(1, 1.0, 0.0, "x", False, False, False), (1, 5.0, 0.0, "y", False, False, False), (2, 9.0, 0.0, "z", False, False, False)]
