@@ -22,10 +22,12 @@ import hashlib
 import re
 from collections.abc import Iterator
 from fractions import Fraction
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -93,42 +95,45 @@ class Bands:
         return list(range(self.band(max(1, least)), self.band(n) + 1))
 
 
-def signatures(batch_words: list[list[str]], bands: Bands, cache: dict[str, int]) -> list[bytes]:
+class Hashes(dict):
+    """64-bit hashes of words, computed once."""
+
+    def __missing__(self, word: str) -> int:
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
+
+
+def signatures(batch_words: list[list[str]], bands: Bands, cache: Hashes) -> list[bytes]:
     """For each non-empty word list: the parity of the set, then the block parities of each of its bands, as 64-bit words."""
-    n = np.array([len(w) for w in batch_words], np.int64)
-    flat = np.empty(int(n.sum()), np.uint64)
-    k = 0
-    for words in batch_words:
-        for w in words:
-            h = cache.get(w)
-            if h is None:
-                h = cache[w] = xxhash.xxh64_intdigest(w)
-            flat[k] = h
-            k += 1
+    size = np.array([len(w) for w in batch_words], np.int64)
+    order = np.argsort(size, kind="stable")  # a band is then a stretch of documents and of their words
+    n = size[order]
+    flat = np.fromiter(map(cache.__getitem__, chain.from_iterable(batch_words[i] for i in order)), np.uint64, int(n.sum()))
     if len(cache) > 2_000_000:
         cache.clear()
-    doc = np.repeat(np.arange(len(n)), n)
-    fp = np.zeros((len(n), FP_WORDS), np.uint64)
-    np.bitwise_xor.at(fp, (doc, ((flat >> np.uint64(6)) & np.uint64(FP_WORDS - 1)).astype(np.int64)), np.uint64(1) << (flat & np.uint64(63)))
+    doc, start = np.repeat(np.arange(len(n)), n), np.concatenate([[0], np.cumsum(n)])
+    fp = np.zeros(len(n) * FP_WORDS, np.uint64)
+    np.bitwise_xor.at(fp, doc * FP_WORDS + ((flat >> np.uint64(6)) & np.uint64(FP_WORDS - 1)).astype(np.int64), np.uint64(1) << (flat & np.uint64(63)))
+    fp = fp.reshape(len(n), FP_WORDS)
     bit = np.uint64(1) << ((flat >> np.uint64(10)) & np.uint64(63))
     part = (flat >> np.uint64(20)).astype(np.int64)
     of = {int(s): bands.of(int(s)) for s in np.unique(n)}
-    wide = {s: bands.width(of[s][-1]) for s in of}
-    out = [[fold(fp[i], wide[int(s)]).tobytes()] for i, s in enumerate(n)]
-    wanted: dict[int, list[int]] = {}
-    for i, s in enumerate(n):
-        for b in of[int(s)]:
-            wanted.setdefault(b, []).append(i)
-    for b in sorted(wanted):
-        m = bands.blocks(b)
-        slot = np.full(len(n), -1)
-        slot[wanted[b]] = np.arange(len(wanted[b]))
-        mine = slot[doc] >= 0
-        blocks = np.zeros((len(wanted[b]), m), np.uint64)
-        np.bitwise_xor.at(blocks, (slot[doc[mine]], part[mine] % m), bit[mine])
-        for i in wanted[b]:
-            out[i].append(blocks[slot[i]].tobytes())
-    return [b"".join(x) for x in out]
+    out: list[list[bytes]] = []
+    for s, mine in of.items():
+        i, j = np.searchsorted(n, s), np.searchsorted(n, s, "right")
+        out += [[row.tobytes()] for row in np.ascontiguousarray(fold(fp[i:j].T, bands.width(mine[-1])).T)]
+    for b in sorted({b for mine in of.values() for b in mine}):
+        within = [s for s, mine in of.items() if b in mine]
+        i, j = np.searchsorted(n, min(within)), np.searchsorted(n, max(within), "right")
+        m, at = bands.blocks(b), slice(start[i], start[j])
+        blocks = np.zeros((j - i) * m, np.uint64)
+        np.bitwise_xor.at(blocks, (doc[at] - i) * m + part[at] % m, bit[at])
+        for k, row in enumerate(blocks.reshape(-1, m), i):
+            out[k].append(row.tobytes())
+    done: list[bytes] = [b""] * len(n)
+    for k, i in enumerate(order):
+        done[i] = b"".join(out[k])
+    return done
 
 
 def fold(fp: np.ndarray, width: int) -> np.ndarray:
@@ -167,23 +172,26 @@ def trie_join(keys: np.ndarray, sizes: np.ndarray, split: int | None, bands: Ban
             ones[level] = np.concatenate([[0], np.cumsum(bits, dtype=np.int64)])
         return ones[level]
 
-    found_a, found_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    found_a, found_b = [np.empty(0, np.int32)], [np.empty(0, np.int32)]
+
+    cols = [np.ascontiguousarray(keys[:, w]) for w in range(keys.shape[1])]
 
     def finish(f: np.ndarray) -> None:
-        size = (f[1] - f[0]) * (f[3] - f[2])
-        start = np.cumsum(size) - size
-        row = np.repeat(np.arange(f.shape[1]), size)
-        off = np.arange(int(size.sum())) - start[row]
-        width = (f[3] - f[2])[row]
-        a, b = f[0][row] + off // width, f[2][row] + off % width
-        keep = a < b
+        """All pairs of leaves of small node pairs, checked on the whole fingerprint."""
+        la, lb = f[1] - f[0], f[3] - f[2]
+        row = np.repeat(np.arange(f.shape[1]), la)
+        each = np.arange(len(row)) - np.repeat(np.cumsum(la) - la - f[0], la)
+        per = lb[row]
+        a = np.repeat(each.astype(np.int32), per)
+        b = (np.arange(len(a)) - np.repeat(np.cumsum(per) - per - f[2][row], per)).astype(np.int32)
+        keep = np.flatnonzero(np.bitwise_count(cols[0][a] ^ cols[0][b]) <= ERRORS)
         a, b = a[keep], b[keep]
-        keep = np.bitwise_count(keys[a, 0] ^ keys[b, 0]) <= ERRORS
+        keep = a < b
         a, b = a[keep], b[keep]
         apart = np.zeros(len(a), np.int64)
         most = np.floor((sizes[a] + sizes[b]) * float(bands.ratio) + 1e-9)
-        for w in range(1, keys.shape[1]):
-            apart += np.bitwise_count(keys[a, w] ^ keys[b, w])
+        for c in cols[1:]:
+            apart += np.bitwise_count(c[a] ^ c[b])
             keep = apart <= most
             a, b, apart, most = a[keep], b[keep], apart[keep], most[keep]
         found_a.append(a)
@@ -260,7 +268,7 @@ class NearDuplicates:
             rows = rows.withColumn("_u", F.lit(0)).withColumn("_lo", F.lit(0)).withColumn("_hi", F.lit(0))
         else:
             rows = _node_pairs(rows, F.broadcast(heavy) if found <= BROADCAST_ROWS else heavy)
-        pairs = rows.groupBy("_group", "_band", "_block", "_lo", "_hi").applyInPandas(_join(self.threshold), "_group string, _a binary, _b binary")
+        pairs = rows.groupBy("_group", "_band", "_block", "_lo", "_hi").applyInArrow(_join(self.threshold), "_group string, _a binary, _b binary")
         return pairs.distinct()
 
     def links(self) -> DataFrame:
@@ -299,7 +307,7 @@ def _node_pairs(rows: DataFrame, heavy: DataFrame) -> DataFrame:
 
 def _describe(threshold: float):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands, cache = Bands(threshold), {}
+        bands, cache = Bands(threshold), Hashes()
         for batch in it:
             ids, groups, texts = (batch.column(k).to_pylist() for k in range(3))
             kept = [(i, g, w) for i, g, t in zip(ids, groups, texts) if (w := body_words(t))]
@@ -327,15 +335,24 @@ def _explode(threshold: float):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(threshold)
         for batch in it:
-            group, cls, n, sig = (batch.column(c).to_pylist() for c in ("_group", "_class", "_n", "_sig"))
-            rows = [leaves(s, k, bands) for s, k in zip(sig, n)]
-            each = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-            flat = [x for r in rows for x in r]
-            take = pa.array(each)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(group, pa.string()).take(take), pa.array(cls, pa.binary()).take(take), pa.array(n, pa.int32()).take(take), pa.array([x[0] for x in flat], pa.int32()), pa.array([x[1] for x in flat], pa.int32()), pa.array([x[2] for x in flat], pa.int64()), pa.array([x[3] for x in flat], pa.binary())],
-                names=["_group", "_class", "_n", "_band", "_block", "_bits", "_fp"],
-            )
+            n = batch.column("_n").to_numpy()
+            sig = batch.column("_sig").to_pylist()
+            for size in np.unique(n):
+                at = np.flatnonzero(n == size)
+                words = np.frombuffer(b"".join([sig[i] for i in at]), np.uint64).reshape(len(at), -1)
+                mine = bands.of(int(size))
+                k = bands.width(mine[-1])
+                fp = words[:, :k]
+                for b in mine:
+                    m, wide = bands.blocks(b), bands.width(b)
+                    folded = np.ascontiguousarray(fold(fp.T, wide).T)
+                    whole = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer((np.arange(len(at) + 1, dtype=np.int32) * (8 * wide)).tobytes()), pa.py_buffer(folded.tobytes())])
+                    take = pa.array(np.tile(at, m))
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("_group").take(take), batch.column("_class").take(take), pa.array(np.full(len(at) * m, size, np.int32)), pa.array(np.full(len(at) * m, b, np.int32)), pa.array(np.repeat(np.arange(m, dtype=np.int32), len(at))), pa.array(words[:, k : k + m].T.ravel().view(np.int64)), whole.take(pa.array(np.tile(np.arange(len(at)), m)))],
+                        names=["_group", "_class", "_n", "_band", "_block", "_bits", "_fp"],
+                    )
+                    k += m
 
     return run
 
@@ -351,30 +368,27 @@ def _band_counts(threshold: float):
 
 
 def _join(threshold: float):
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
         bands = Bands(threshold)
-        group, band, _, lo, hi = key
-        band = int(band)
+        group, band, _, lo, hi = (k.as_py() for k in key)
         width = bands.width(band)
-        keys = np.empty((len(pdf), 1 + width), np.uint64)
-        keys[:, 0] = pdf["_bits"].to_numpy(np.int64).view(np.uint64)
-        keys[:, 1:] = np.frombuffer(b"".join(pdf["_fp"]), np.uint64).reshape(-1, width)
-        side = (pdf["_u"].to_numpy() != lo).astype(np.int64)
+        rows = rows.combine_chunks()
+        keys = np.empty((len(rows), 1 + width), np.uint64)
+        keys[:, 0] = rows["_bits"].to_numpy().view(np.uint64)
+        keys[:, 1:] = np.frombuffer(b"".join(rows["_fp"].to_pylist()), np.uint64).reshape(-1, width)
+        side = (rows["_u"].to_numpy() != lo).astype(np.int64)
         order = np.lexsort([*keys.T[::-1], side])
-        keys, side, sizes = keys[order], side[order], pdf["_n"].to_numpy(np.int64)[order]
+        keys, side, sizes = keys[order], side[order], rows["_n"].to_numpy().astype(np.int64)[order]
         split = None if lo == hi else int((side == 0).sum())
         if split is not None and split in (0, len(keys)):
-            a = b = np.empty(0, np.int64)
+            a = b = np.empty(0, np.int32)
         else:
             a, b = trie_join(keys, sizes, split, bands, band)
         low, high = np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b])
-        start = np.array(bands.starts)
-        mine = (np.searchsorted(start, low, "right") - 1 == band) & (low * bands.j.denominator >= high * bands.j.numerator)
-        a, b = order[a[mine]], order[b[mine]]
-        cls = pdf["_class"].to_numpy(object)
-        swap = np.array([x > y for x, y in zip(cls[a], cls[b])], bool) if len(a) else np.empty(0, bool)
-        a, b = np.where(swap, b, a), np.where(swap, a, b)
-        return pd.DataFrame({"_group": pd.Series([group] * len(a), dtype=object), "_a": cls[a], "_b": cls[b]})
+        mine = (np.searchsorted(np.array(bands.starts), low, "right") - 1 == band) & (low * bands.j.denominator >= high * bands.j.numerator)
+        a, b = rows["_class"].take(pa.array(order[a[mine]])), rows["_class"].take(pa.array(order[b[mine]]))
+        swap = pc.greater(a, b)
+        return pa.table({"_group": pa.array([group] * len(a), pa.string()), "_a": pc.if_else(swap, b, a), "_b": pc.if_else(swap, a, b)})
 
     return run
 
