@@ -65,7 +65,7 @@ def test_trie_join_finds_every_pair_within_budget():
     words = [[f"v{x}" for x in sorted(rng.sample(range(90), 40))] for _ in range(80)]
     words += [sorted(set(w[:-1] + [f"z{k}"])) for k, w in enumerate(words)]
     band = bands.band(40)
-    sig = signatures(words, bands, {})
+    sig = signatures(words, bands, neardup.Hashes())
     width = bands.width(band)
     leaf = [next(x for x in neardup.leaves(s, len(w), bands) if x[0] == band and x[1] == 0) for s, w in zip(sig, words)]
     keys = np.array([[np.int64(x[2]).view(np.uint64), *np.frombuffer(x[3], np.uint64)] for x in leaf], np.uint64)
