@@ -37,7 +37,6 @@ _DIGITS = re.compile(r"\d+")
 _SPACE = re.compile(r"\s+")
 _NOTE = re.compile(r"^(?:Note|Tip|Important|Caution|Warning|Hint|Example)s?: \S")
 _PROSE = re.compile(r"[.!?:;]$|`")
-_SPLIT = re.compile(r"\s*(?:[|·»«›•/*,;→←–]|\s{2,}|\t)\s*")
 
 
 def template(line: str, host: str, title: str) -> tuple[str, bool]:

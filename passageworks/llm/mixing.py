@@ -6,7 +6,6 @@ import base64
 from collections.abc import Iterator
 from functools import lru_cache
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
