@@ -25,6 +25,8 @@ SHINGLE = 3
 SKETCH = 6
 SKETCH_SHINGLE = 8
 HOT = 400
+#: Characters that a title that was cut must keep to be compared.
+CUT_LEAST = 4
 ROUNDS = 40
 EPS = 1e-3
 #: Edges with no more log odds than this are no candidates.
@@ -78,14 +80,14 @@ def _signed(text: str) -> int:
     return xxhash.xxh64_intdigest(text) - (1 << 63)
 
 
-PROFILE = "id string, hid bigint, side string, part string, keys array<bigint>, heading bigint, shingles array<int>, title string, path array<string>, anchor string"
+PROFILE = "id string, hid bigint, side string, part string, keys array<bigint>, shingles array<int>, title string, path array<string>, anchor string"
 
 
 def _profile(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cache: dict[str, int] = {}
     for batch in it:
         cols = {c: batch.column(c).to_pylist() for c in ("id", "side", "part", "text", "path", "anchor")}
-        keys, headings, shingles, titles, paths, anchors = [], [], [], [], [], []
+        keys, shingles, titles, paths, anchors = [], [], [], [], []
         for part, text, path, anchor in zip(cols["part"], cols["text"], cols["path"], cols["anchor"]):
             text = text or ""
             at = text.find("\n\n")
@@ -99,7 +101,6 @@ def _profile(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = np.uint64(xxhash.xxh64_intdigest(str(part)))
             sketch = (_shingle_hashes(words, cache, SKETCH_SHINGLE)[:SKETCH] ^ own).view(np.int64).tolist()
             keys.append([*sketch, heading] if title else sketch)
-            headings.append(heading)
             shingles.append((_shingle_hashes(words, cache, SHINGLE) >> np.uint64(32)).astype(np.uint32).view(np.int32))
             titles.append(title)
             paths.append(steps)
@@ -107,8 +108,8 @@ def _profile(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(cache) > 2_000_000:
             cache.clear()
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array([_signed(i) for i in cols["id"]], pa.int64()), batch.column("side"), batch.column("part"), pa.array(keys, pa.list_(pa.int64())), pa.array(headings, pa.int64()), pa.array(shingles, pa.list_(pa.int32())), pa.array(titles, pa.string()), pa.array(paths, pa.list_(pa.string())), pa.array(anchors, pa.string())],
-            names=["id", "hid", "side", "part", "keys", "heading", "shingles", "title", "path", "anchor"],
+            [batch.column("id"), pa.array([_signed(i) for i in cols["id"]], pa.int64()), batch.column("side"), batch.column("part"), pa.array(keys, pa.list_(pa.int64())), pa.array(shingles, pa.list_(pa.int32())), pa.array(titles, pa.string()), pa.array(paths, pa.list_(pa.string())), pa.array(anchors, pa.string())],
+            names=["id", "hid", "side", "part", "keys", "shingles", "title", "path", "anchor"],
         )
 
 
@@ -122,19 +123,44 @@ def profiles(df: DataFrame, sides: tuple[str, str], id_col: str = "chunk_id", si
 def candidates(prof: DataFrame, sides: tuple[str, str]) -> DataFrame:
     """Pairs of id hashes (ha of the first side, hb of the second) that share a block key of one part; each pair once.
 
-    Counts per key, pre-aggregated, first leave out the keys that only one side holds. A key that would make over HOT squared
-    pairs is refined by the last two titles: records that share a stock phrase then meet only under the same heading. No record
-    is left out. Rows carry hashes only; two ids with one hash would merely be judged more often.
+    Counts per key, pre-aggregated, first leave out the keys that only one side holds. Under a key that would make over HOT squared
+    pairs, two records meet if their last titles are equal, one of them is missing, or one was cut and both begin alike; what is
+    left out there are pairs of two known titles that differ, whose log odds are -1 at most, so that none can be a match. They
+    meet in cells of about HOT by HOT records, so no task gets a whole key. Rows carry hashes only; two ids with one hash would
+    merely be judged more often.
     """
     first = F.col("side") == sides[0]
-    rows = prof.select(first.alias("first"), "hid", "heading", F.explode(F.array_distinct("keys")).alias("key"))
+    base = F.rtrim(F.col("title"), F.lit("*"))
+    evidence = [F.when(F.col("title") != "", F.xxhash64("title")).alias("title"), F.when(F.length(base) >= CUT_LEAST, F.xxhash64(F.substring(base, 1, CUT_LEAST))).alias("stem"), F.endswith("title", F.lit("*")).alias("cut")]
+    rows = prof.select(first.alias("first"), "hid", *evidence, F.explode(F.array_distinct("keys")).alias("key"))
     count = rows.groupBy("key").agg(F.sum(F.col("first").cast("bigint")).alias("n0"), F.sum((~F.col("first")).cast("bigint")).alias("n1"))
     met = count.filter("n0 > 0 AND n1 > 0").select("key", (F.col("n0") * F.col("n1") > HOT * HOT).alias("hot"))
-    rows = rows.join(met.hint("merge"), "key").select("key", "first", "hid", F.when(F.col("hot"), F.col("heading")).otherwise(F.lit(0)).alias("sub"))
+    rows = rows.join(met.hint("merge"), "key").select("key", "first", "hid", "hot", *[F.when(F.col("hot"), F.col(c)).alias(c) for c in ("title", "stem", "cut")])
     rows = materialize(rows, "blocks")
-    a = rows.filter("first").select("key", "sub", F.col("hid").alias("ha"))
-    b = rows.filter("NOT first").select("key", "sub", F.col("hid").alias("hb"))
-    return a.join(b.hint("merge"), ["key", "sub"]).select("ha", "hb").distinct()
+    cold = rows.filter("NOT hot").select("key", "first", "hid", F.lit(0).cast("bigint").alias("sub"), F.lit(0).cast("bigint").alias("cell"))
+    both = cold.unionByName(_cells(rows.filter("hot")))
+    a = both.filter("first").select("key", "sub", "cell", F.col("hid").alias("ha"))
+    b = both.filter("NOT first").select("key", "sub", "cell", F.col("hid").alias("hb"))
+    return a.join(b.hint("merge"), ["key", "sub", "cell"]).select("ha", "hb").distinct()
+
+
+def _cells(rows: DataFrame) -> DataFrame:
+    """Rows of hot keys (key, first, hid, title, stem, cut) once for each cell in which they meet the other side: key, first, hid, sub, cell."""
+    titled = F.col("title").isNotNull()
+    sub = lambda when, kind, *of: F.when(when, F.xxhash64(F.lit(kind), *of))
+    subs = lambda mine, theirs, m: F.array(  # noqa: E731  mine: a missing or cut title is this row's, theirs: the other row's
+        sub(titled, "equal", "title"), sub(~titled, f"none-{mine}"), sub(F.lit(m) | titled, f"none-{theirs}"),
+        sub(F.col("cut") & F.col("stem").isNotNull(), f"cut-{mine}", "stem"), sub(titled & F.col("stem").isNotNull(), f"cut-{theirs}", "stem"),
+    )
+    rows = rows.withColumn("sub", F.explode(F.array_compact(F.when(F.col("first"), subs("a", "b", False)).otherwise(subs("b", "a", True)))))
+    count = rows.groupBy("key", "sub").agg(F.sum(F.col("first").cast("bigint")).alias("n0"), F.sum((~F.col("first")).cast("bigint")).alias("n1"))
+    across = lambda n: F.ceil(F.col(n) / F.lit(HOT))
+    met = count.filter("n0 > 0 AND n1 > 0").select("key", "sub", across("n0").alias("k0"), across("n1").alias("k1"))
+    rows = rows.join(met, ["key", "sub"])
+    part = lambda k: F.pmod(F.xxhash64("hid"), F.col(k))
+    along = lambda k: F.sequence(F.lit(0).cast("bigint"), F.col(k) - 1)
+    cell = F.when(F.col("first"), F.transform(along("k1"), lambda j: part("k0") * F.col("k1") + j)).otherwise(F.transform(along("k0"), lambda i: i * F.col("k1") + part("k1")))
+    return rows.select("key", "first", "hid", "sub", F.explode(cell).alias("cell"))
 
 
 def weights(prof: DataFrame, pairs: DataFrame, sides: tuple[str, str]) -> DataFrame:
@@ -146,7 +172,7 @@ def weights(prof: DataFrame, pairs: DataFrame, sides: tuple[str, str]) -> DataFr
     contained = F.coalesce(both / F.nullif(least, F.lit(0)), F.lit(0.0))
     overlap = F.coalesce(both / F.nullif(most, F.lit(0)), F.lit(0.0))
     known = (F.col("a_title") != "") & (F.col("b_title") != "")
-    title = F.when(~known, 0.0).when(_same(F.col("a_title"), F.col("b_title"), 4), 3.0).otherwise(-14.0)
+    title = F.when(~known, 0.0).when(_same(F.col("a_title"), F.col("b_title"), CUT_LEAST), 3.0).otherwise(-14.0)
     anchored = (F.col("a_anchor") != "") & (F.col("b_anchor") != "")
     begins = F.startswith("a_anchor", "b_anchor") | F.startswith("b_anchor", "a_anchor")
     anchor = F.when(~anchored, 0.0).when(F.col("a_anchor") == F.col("b_anchor"), 2.0).when(begins, 0.0).otherwise(-8.0)

@@ -143,6 +143,27 @@ def test_matching(spark):
     assert matching.matched_chunks(df.limit(0)).count() == 0
 
 
+def test_hot_keys_lose_no_pair_with_compatible_titles(spark, monkeypatch):
+    """Under hot keys (here of over 4 pairs) all pairs meet but those of two known titles that differ."""
+    stock = " ".join(f"stock{i}" for i in range(9))
+    titles = [None, None, "Red Gadgets", "Red Gadg...", "Red Gizmos", "Blue", "Re...", "3.1. Blue", "Blue Whales", "Blue…"]
+    paths = [t and [f"Parent {k % 3}", t] for k, t in enumerate(titles)]
+    rows = [(f"{side}{k}", f"x\n\n{stock}", side, "18", p, None) for side in ("html", "pdf") for k, p in enumerate(paths)]
+    df = spark.createDataFrame(rows, "chunk_id string, text string, source_format string, pg_version string, section_path array<string>, section_anchor string")
+    prof = matching.profiles(df, ("html", "pdf"))
+    ids = {r["hid"]: (r["id"], r["title"]) for r in prof.collect()}
+    pairs = lambda: {(ids[r["ha"]], ids[r["hb"]]) for r in matching.candidates(prof, ("html", "pdf")).collect()}
+    every = pairs()
+    assert len(every) == len(titles) ** 2
+    edges = lambda: {(r["a"], r["b"], round(r["logit"], 9)) for r in matching.weights(prof, matching.candidates(prof, ("html", "pdf")), ("html", "pdf")).collect()}
+    whole = edges()
+    monkeypatch.setattr(matching, "HOT", 2)
+    cut = lambda x, y: len(x) > 4 and x.endswith("*") and y.startswith(x[:-1])
+    want = {(a, b) for a, b in every if not a[1] or not b[1] or a[1] == b[1] or cut(a[1], b[1]) or cut(b[1], a[1])}
+    assert want <= pairs() and len(want) < len(every)
+    assert {e for e in whole if e[2] > -1} <= edges()
+
+
 def test_propagation_on_a_small_graph(spark):
     """Marginals of the one-to-one model on a path of three edges, a tree, where belief propagation is exact."""
     import math
