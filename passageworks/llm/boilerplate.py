@@ -28,6 +28,8 @@ WIDE = 3
 LONGEST = 1_500
 #: Blocks of one page that are handled in one piece; longer pages are compared piece by piece, each with its neighbours' pieces.
 PIECE = 1_000
+#: Words of an entry of a link row or menu, at most.
+ENTRY_WORDS = 3
 TITLE, PHRASE, HOST, CELL = "<T>", "<L>", "<H>", " ¦ "
 
 _PHRASE = re.compile(r"[A-Z][A-Za-z]*[a-z][A-Za-z]*(?: (?:and |of |the |for )?[A-Z][A-Za-z]*)+")
@@ -35,6 +37,7 @@ _BARE = re.compile(rf"(?:The )?(?:{_PHRASE.pattern})$")
 _GAP = re.compile(r"\s*\t\s*|\s{2,}")
 _DIGITS = re.compile(r"\d+")
 _SPACE = re.compile(r"\s+")
+_WORD = re.compile(r"\w+")
 _NOTE = re.compile(r"^(?:Note|Tip|Important|Caution|Warning|Hint|Example)s?: \S")
 _PROSE = re.compile(r"[.!?:;]$|`")
 
@@ -181,12 +184,13 @@ def page_lines(blocks: DataFrame, manifest: DataFrame) -> DataFrame:
     marked = lines.join(overall, "tpl", "left").join(here, ["host", "tpl"], "left")
     marked = marked.withColumn("known", F.col("sites").isNotNull() & (F.coalesce("here", F.lit(False)) | (F.col("sites") >= 2) | (F.col("hosts") >= WIDE)))
 
-    items = _link_items(lines, overall)
-    marked = marked.withColumn("links", _only_links(items)("line"))
+    links = materialize(_link_rows(lines, _link_entries(lines, overall)), "links")
+    marked = marked.join(links, "line", "left").fillna(0, ["links"])
     by_block = Window.partitionBy("block_id").orderBy("line_no")
     row = (F.col("links") == 2) | ((F.col("links") == 1) & ((F.lag("links").over(by_block) > 0) | (F.lead("links").over(by_block) > 0)))
-    marked = marked.withColumn("_row", F.coalesce(row, F.lit(False))).withColumn("known", F.col("known") | (F.col("_row") & plain))
-    label = F.when(~F.col("titled") | F.col("known") | (F.col("tpl") == TITLE), F.struct("known", (F.coalesce("title_share", F.lit(0.0)) >= 0.4).alias("list")))
+    marked = marked.withColumn("_row", F.coalesce(row, F.lit(False))).withColumn("_everywhere", F.col("known")).withColumn("known", F.col("known") | (F.col("_row") & plain))
+    # A title that is known only as a link does not end the list that it stands in.
+    label = F.when(~F.col("titled") | F.col("_everywhere") | (F.col("tpl") == TITLE), F.struct("known", (F.coalesce("title_share", F.lit(0.0)) >= 0.4).alias("list")))
     before = F.last(label, ignorenulls=True).over(Window.partitionBy("block_id").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1))
     listed = F.col("titled") & (F.col("tpl") != TITLE) & F.coalesce(before["known"] & before["list"], F.lit(False))
     whole = Window.partitionBy("block_id")
@@ -194,37 +198,57 @@ def page_lines(blocks: DataFrame, manifest: DataFrame) -> DataFrame:
     return marked.withColumn("_l", listed).withColumn("furniture", F.col("known") | F.col("_l") | F.col("early")).select("slug", "host", "block_id", "line_no", "line", "tpl", "furniture")
 
 
-def _link_items(lines: DataFrame, overall: DataFrame) -> list[str]:
-    """Entries of link rows and menus: furniture lines of up to three words, and what separators set apart in longer ones, on
-    at least 2 sites and 1% of all sites.
-
-    A site has at most a few dozen entries, so at most some thousands can reach 1% of the sites, however many pages there are.
-    """
-    sites = lines.select("host").distinct().count()
+def _link_entries(lines: DataFrame, overall: DataFrame) -> DataFrame:
+    """e: entries of link rows and menus: furniture lines of up to three words, and what separators set apart in longer ones, on
+    at least 2 sites, however many sites there are."""
     rows = lines.join(overall.select("tpl"), "tpl", "left_semi").select("host", "line")
     entry = rows.select("host", F.explode(F.split("line", r"\s*(?:[|·»›•/*]|\s{2,}|\t)\s*")).alias("e")).withColumn("e", F.lower(F.trim("e")))
-    entry = entry.filter(F.col("e").rlike(r"^\p{L}[\p{L} ]{1,30}$") & (F.size(F.split("e", " ")) <= 3))
-    found = entry.groupBy("e").agg(F.countDistinct("host").alias("n")).filter(F.col("n") >= max(2, -(-sites // 100)))
-    return [r["e"] for r in found.collect()]
+    entry = entry.filter(F.col("e").rlike(r"^\p{L}[\p{L} ]{1,30}$") & (F.size(F.split("e", " ")) <= ENTRY_WORDS))
+    return entry.groupBy("e").agg(F.countDistinct("host").alias("n")).filter("n >= 2").select("e")
+
 
+def _runs(line: str) -> list[list[str]]:
+    """For each word of the line, in lower case, the runs of one to ENTRY_WORDS words that begin with it and stand one space apart."""
+    x = line.lower()
+    at = [m.span() for m in _WORD.finditer(x)]
+    out = []
+    for i, (begin, end) in enumerate(at):
+        out.append([x[begin:end]])
+        for left, right in at[i + 1 : i + ENTRY_WORDS]:
+            if x[end:left] != " ":
+                break
+            end = right
+            out[-1].append(x[begin:end])
+    return out
+
+
+def _link_rows(lines: DataFrame, entries: DataFrame) -> DataFrame:
+    """(line, links) of lines that hold entries and no other word. links: 2 is a row of three or more entries or a starred entry,
+    1 is one or two entries. Read from the left, the longest entry counts.
+
+    Each different line's runs of words are joined with the entries, so neither the number of entries nor of lines is bound.
+    """
+    short = (F.length("line") <= 200) & ~F.substring("line", -1, 1).isin(".", "!", "?") & ~F.col("line").rlike(r"[0-9_]")
 
-def _only_links(items: list[str]):
-    """2: a row of three or more entries or a starred entry; 1: one or two entries; 0: anything else."""
-    known = sorted(items, key=len, reverse=True)
-    strip = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, known)) + r")(?!\w)") if known else None
+    def runs(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            yield pd.DataFrame([(x, e) for x in pdf["line"] for e in {r for rs in _runs(x) for r in rs}], columns=["line", "e"])
 
     @F.pandas_udf("int")
-    def only(line: pd.Series) -> pd.Series:
+    def links(line: pd.Series, known: pd.Series) -> pd.Series:
         out = []
-        for x in line:
-            if strip is None or len(x) > 200 or x[-1:] in ".!?":
-                out.append(0)
-                continue
-            rest, n = strip.subn("", x.lower())
-            out.append(0 if not n or re.search(r"\w", rest) else 2 if n >= 3 or x.startswith("* ") else 1)
-        return pd.Series(out)
-
-    return only
+        for x, have in zip(line, known):
+            have, words, i, n = set(have), _runs(x), 0, 0
+            while i < len(words):
+                k = max((k for k, r in enumerate(words[i], 1) if r in have), default=0)
+                if not k:
+                    break
+                i, n = i + k, n + 1
+            out.append(0 if i < len(words) else 2 if n >= 3 or x.startswith("* ") else 1)
+        return pd.Series(out, dtype="int32")
+
+    held = lines.select("line").filter(short).distinct().mapInPandas(runs, "line string, e string").join(entries, "e")
+    return held.groupBy("line").agg(F.collect_set("e").alias("e")).select("line", links("line", "e").alias("links")).filter("links > 0")
 
 
 def body_text(blocks: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -219,3 +219,22 @@ def test_pages(spark):
     body = {r["slug"]: r["body"] for r in boilerplate.body_text(bdf, mdf).collect()}
     assert body["one.test-0"].startswith("Using Red Gadgets\nNotes\nThis page ") and body["orphan"].startswith("A line")
     assert boilerplate.furniture_lines(bdf.limit(0), mdf.limit(0)).count() == 0
+
+
+def test_link_entries_of_two_sites_count_among_many(spark):
+    """Menu rows of single-page sites whose entries stand on two of 320 sites; a row with any other word stays."""
+    shared = ["Home", "News", "Zebra Shop"]
+    blocks, manifest = [], []
+    for i in range(320):
+        name = "".join(chr(97 + (i // 26**k) % 26) for k in range(3))
+        blocks.append((i, f"s{i}", f"https://{name}.test/a", 1, f"The site {name}{name} tells about its {name}x matters, in full."))
+        if i < 40:
+            blocks.append((1000 + i, f"s{i}", f"https://{name}.test/a", 0, "Home\nNews"))
+        manifest.append((f"s{i}", f"https://{name}.test/a", None, "2025-01-01"))
+    for k, at in enumerate(("x.test", "x.test", "y.test", "y.test")):
+        blocks += [(400 + k, f"t{k}", f"https://{at}/{k}", 0, "Zebra Shop | Home"), (410 + k, f"t{k}", f"https://{at}/{k}", 1, f"Page {'abcd'[k] * 5} is its own here.")]
+    blocks += [(500, "solo", "https://solo.test/a", 0, " | ".join(shared)), (501, "solo", "https://solo.test/a", 1, "Home | News | Lion Shop"), (502, "solo", "https://solo.test/a", 2, "Home News Zebra Shop")]
+    bdf = spark.createDataFrame(blocks, "block_id long, slug string, url string, block_ord int, text string")
+    mdf = spark.createDataFrame(manifest, "slug string, url string, title string, fetched_at string")
+    got = {tuple(r) for r in boilerplate.furniture_lines(bdf, mdf).collect()}
+    assert {(500, 1), (502, 1)} <= got and (501, 1) not in got
