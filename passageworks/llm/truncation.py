@@ -2,8 +2,8 @@
 
 Values are put into one sorted order; a value is a strict prefix of a longer one exactly if it is a prefix of the next
 different value, so one range-partitioned sort finds all of them and no pair is ever emitted. This is done twice: over whole
-texts (a longer copy elsewhere proves a cut) and over words (a last word that occurs nowhere else and begins a longer word of
-the corpus was cut in the middle). Most cut documents have no longer copy, so the method alone cannot find them: the form of
+texts (a longer copy elsewhere proves a cut) and over words (a last word that is rare beside a longer word of the corpus that it
+begins was cut in the middle; texts that were collected again count once). Most cut documents have no longer copy, so the method alone cannot find them: the form of
 the last sentence, list entry, code line or table row decides, and the two joins decide where the form leaves it open.
 """
 
@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 COMPLETE, BARE, CUT = "complete", "bare", "cut"
+#: A last word was cut if one that it begins is in more than so many times as many texts.
+RARER = 20
 
 _MARK = re.compile(r"(?:\[\s*(?:\.\.\.|…)\s*\]|\.\.\.|…|\((?:more|continued|cont\.?)\)|\[truncated\]|\bread more)\s*$", re.IGNORECASE)
 _ANNOUNCED = re.compile(r"\b(?:next|following|later|another)\s+(?:chapter|section|part|post|page|release|article|episode)s?\W*$", re.IGNORECASE)
@@ -47,8 +49,8 @@ def ending(text: str | None) -> tuple[str, str]:
     lines = body.split("\n")
     line = _QUOTE.sub("", lines[-1]).rstrip()
     before = lines[-2].strip() if len(lines) > 1 else ""
-    at = _LAST.search(body)
-    last = at.group(1).lower() if at else ""
+    at = _LAST.search(body.lower())
+    last = at.group(1) if at else ""
     mark = _MARK.search(body)
     if mark:
         return (COMPLETE if _ANNOUNCED.search(body[: mark.start()]) else CUT), last
@@ -117,6 +119,18 @@ def strict_prefixes(values: DataFrame, value: str) -> DataFrame:
     return found.filter("edge IS NULL").select("v", "longer").unionByName(edges.select("v", "longer"))
 
 
+def cut_words(words: DataFrame, last: DataFrame) -> DataFrame:
+    """w: the words of `last` (w) that are strict prefixes of words (w, n: texts that hold it), one of them in over RARER times as many
+    texts as hold w, not counting one, the text that is judged.
+
+    The longer words are found by exploding the vocabulary's prefixes, kept only where they are prefixes to be judged.
+    """
+    short = strict_prefixes(words, "w").select(F.col("v").alias("w")).join(last.distinct(), "w", "left_semi").join(words, "w")
+    begins = F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda k: F.substring("w", F.lit(1), k))
+    longer = words.filter(F.length("w") > 1).select(F.explode(begins).alias("w"), F.col("n").alias("longer")).join(short.select("w"), "w", "left_semi").groupBy("w").agg(F.max("longer").alias("longer"))
+    return short.join(longer, "w").filter((F.col("n") - 1) * RARER < F.col("longer")).select("w")
+
+
 def truncation_evidence(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """doc_id, source, state, has_longer_copy, word_cut, truncated; one row per input row with a non-null id.
 
@@ -136,9 +150,8 @@ def truncation_evidence(documents: DataFrame, doc_id: str = "doc_id", text: str
     def vocabulary(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n: Counter = Counter()
         for pdf in it:
-            for t in pdf["_t"]:
-                if t:
-                    n.update({w.lower() for w in _WORDS.findall(t)})
+            for t in pdf["_n"]:
+                n.update(set(_WORDS.findall(t)))
             if len(n) > 200_000:
                 yield pd.DataFrame({"w": list(n), "n": list(n.values())})
                 n.clear()
@@ -146,8 +159,9 @@ def truncation_evidence(documents: DataFrame, doc_id: str = "doc_id", text: str
 
     judged = materialize(d.mapInPandas(judge, f"_d {d_type}, _s string, state string, _w string, _n string"), "truncation")
     copies = strict_prefixes(judged, "_n").select(F.col("v").alias("_n")).withColumn("has_longer_copy", F.lit(True))
-    words = materialize(d.select("_t").mapInPandas(vocabulary, "w string, n bigint").groupBy("w").agg(F.sum("n").alias("n")), "truncation-words")
-    fragments = strict_prefixes(words, "w").select(F.col("v").alias("w")).join(words.filter("n = 1"), "w", "left_semi").select(F.col("w").alias("_w")).withColumn("word_cut", F.lit(True))
+    texts = judged.select("_n").filter("_n IS NOT NULL").distinct()
+    words = materialize(texts.mapInPandas(vocabulary, "w string, n bigint").groupBy("w").agg(F.sum("n").alias("n")), "truncation-words")
+    fragments = cut_words(words, judged.select(F.col("_w").alias("w"))).select(F.col("w").alias("_w"), F.lit(True).alias("word_cut"))
     out = judged.join(copies, "_n", "left").join(fragments, "_w", "left").fillna(False, ["has_longer_copy", "word_cut"])
     bad = (F.col("state") == CUT) | ((F.col("state") == BARE) & (F.col("has_longer_copy") | F.col("word_cut")))
     return out.select(F.col("_d").alias("doc_id"), F.col("_s").alias("source"), "state", "has_longer_copy", "word_cut", bad.alias("truncated"))

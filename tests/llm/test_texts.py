@@ -83,6 +83,18 @@ def test_truncation_evidence(spark):
     assert truncation.truncation_evidence(df.limit(0)).count() == 0
 
 
+def test_word_cut_of_copies_and_at_scale(spark):
+    """A cut text collected again counts once; a fragment in several texts is one beside a far more frequent longer word, a word is not."""
+    cut = "Set.\n\n- red things\n- blue elephan"
+    rows = [(1, cut), (2, cut.replace("\n", "  \n").upper()), (3, "Blue elephants here."), (4, "Set.\n\n- red things\n- many rep"), (5, "Set.\n\n- more things\n- the rep"), (6, "Set.\n\n- red things\n- blue tabl")]
+    rows += [(100 + i, f"The replica {i} of a table.") for i in range(60)] + [(200 + i, f"The tables {i} of it.") for i in range(60)] + [(300, "Set.\n\n- red things\n- blue table")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("source", F.lit("a"))
+    by = {r["doc_id"]: r for r in truncation.truncation_evidence(df).collect()}
+    assert {d for d, r in by.items() if r["truncated"]} == {1, 2, 4, 5, 6} and not by[300]["word_cut"]
+    rates = truncation.truncation_rates(truncation.truncation_evidence(df)).first()
+    assert (rates["n_docs"], rates["n_truncated"]) == (len(rows), 5)
+
+
 # Mixing
 
 TARGET = "source string, target_share double, max_repeats int"
