@@ -3,7 +3,7 @@
 Pages are put in order of (host, URL path), so a page's neighbours are the pages of its site with the nearest URLs. Each page is
 aligned with its neighbours line by line, by a longest common subsequence over line templates (numbers, the host, the page's
 own title and title phrases are placeholders), and shared lines are what the site puts around its pages. A range-partitioned sort
-brings neighbours into one stream, so neither a site with a third of all pages nor a self-join is a problem.
+cuts the order into stretches, each of which also gets the pages beside it, so neither a site with a third of all pages nor a self-join is a problem.
 
 Three things follow from the shared lines of the whole corpus. A template that most of its pages on a site share is furniture
 there; one that is furniture on several sites, or is found on at least WIDE sites, is furniture everywhere, which serves
@@ -25,6 +25,8 @@ from ..session import materialize
 
 NEIGHBOURS = 2
 WIDE = 3
+#: Stretches of the URL order for each task, so that tasks get like shares.
+STRETCHES = 4
 LONGEST = 1_500
 #: Blocks of one page that are handled in one piece; longer pages are compared piece by piece, each with its neighbours' pieces.
 PIECE = 1_000
@@ -98,6 +100,7 @@ def _lcs(a: list[str], b: list[str], ia: list[int], ib: list[int]) -> list[tuple
 class _Page:
     def __init__(self, host: str, piece: int, slug: str, title: str, blocks: list[tuple]):
         self.host, self.piece, self.slug = host, piece, slug
+        self.stretch, self.own = 0, True
         self.rows, self.tpl = [], []
         for block_id, text in blocks:
             lines = text.split("\n")
@@ -118,20 +121,21 @@ class _Page:
             self.shared[i] = other.shared[j] = True
 
     def out(self) -> list[tuple]:
-        return [(self.slug, self.host, b, k, line, t, bare, then, s, i < self.body_from) for i, ((b, k, line, t, bare, then), s) in enumerate(zip(self.rows, self.shared))]
+        return self.own * [(self.slug, self.host, b, k, line, t, bare, then, s, i < self.body_from) for i, ((b, k, line, t, bare, then), s) in enumerate(zip(self.rows, self.shared))]
 
 
 _LINES = "slug string, host string, block_id bigint, line_no int, line string, tpl string, titled boolean, next string, shared boolean, early boolean"
 
 
 def _difference(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pages in URL order; each meets the next NEIGHBOURS pages of its host."""
+    """Pages in URL order, stretch by stretch; each meets the next NEIGHBOURS pages of its host, and those of the stretch are put out."""
     waiting: list[_Page] = []
     for pdf in it:
         rows = []
-        for host, piece, slug, title, blocks in zip(pdf["host"], pdf["piece"], pdf["slug"], pdf["title"], pdf["blocks"]):
+        for stretch, own, host, piece, slug, title, blocks in zip(pdf["stretch"], pdf["own"], pdf["host"], pdf["piece"], pdf["slug"], pdf["title"], pdf["blocks"]):
             page = _Page(host or "", int(piece), slug, title or "", [(b["block_id"], b["text"]) for b in blocks])
-            if waiting and (waiting[0].host, waiting[0].piece) != (page.host, page.piece):
+            page.stretch, page.own = int(stretch), bool(own)
+            if waiting and (waiting[0].stretch, waiting[0].host, waiting[0].piece) != (page.stretch, page.host, page.piece):
                 for p in waiting:
                     rows += p.out()
                 waiting = []
@@ -152,6 +156,23 @@ def address(url):
     return host, path
 
 
+def _stretches(pages: DataFrame) -> DataFrame:
+    """Pages in URL order within stretches of that order: stretch, own, host, piece, slug, title, blocks. A stretch also holds
+    the NEIGHBOURS pages before and behind it, not as its own, so it doesn't matter where stretches end."""
+    tasks = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["host", "piece", "path", "slug", "page"]
+    pages = pages.withColumn("page", F.col("blocks")[0]["block_id"])
+    at = pages.select(*order).repartitionByRange(STRETCHES * tasks, *order).sortWithinPartitions(*order)
+    at = materialize(at.select("page", F.spark_partition_id().alias("stretch"), F.monotonically_increasing_id().alias("at")), "stretches")
+    ends = at.groupBy("stretch").agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    edge = at.join(ends, "stretch").filter((F.col("at") - F.col("first") < NEIGHBOURS) | (F.col("last") - F.col("at") < NEIGHBOURS))
+    by = Window.partitionBy().orderBy("at")  # at most 2 * NEIGHBOURS rows a stretch
+    near = F.array(*[f("stretch", k).over(by) for k in range(1, NEIGHBOURS + 1) for f in (F.lag, F.lead)])
+    beside = edge.select("page", F.col("stretch").alias("of"), near.alias("near")).select("page", "of", F.explode(F.array_distinct(F.array_compact("near"))).alias("stretch")).filter("stretch <> of")
+    where = at.select("page", "stretch", F.lit(True).alias("own")).unionByName(beside.select("page", "stretch", F.lit(False).alias("own")))
+    return pages.join(where, "page").repartition(tasks, "stretch").sortWithinPartitions("stretch", *order).select("stretch", "own", "host", "piece", "slug", "title", "blocks")
+
+
 def page_lines(blocks: DataFrame, manifest: DataFrame) -> DataFrame:
     """Every non-blank line of every page with `furniture` and the evidence for it: slug, host, block_id, line_no, line, tpl, furniture.
 
@@ -170,8 +191,7 @@ def page_lines(blocks: DataFrame, manifest: DataFrame) -> DataFrame:
     host, path = address(F.coalesce("m_url", "b_url"))
     told = urls.join(m, "slug", "left").select(F.col("slug").alias("_s"), "title", "m_url", "b_url")
     pages = pages.join(told, F.col("slug").eqNullSafe(F.col("_s"))).select("piece", F.coalesce(F.nullif(host, F.lit("")), F.concat(F.lit("?"), F.coalesce("slug", F.lit("")))).alias("host"), path.alias("path"), F.coalesce("slug", F.lit("")).alias("slug"), "title", "blocks")
-    ordered = pages.repartitionByRange("host", "piece", "path", "slug").sortWithinPartitions("host", "piece", "path", "slug")
-    lines = materialize(ordered.select("host", "piece", "slug", "title", "blocks").mapInPandas(_difference, _LINES), "lines")
+    lines = materialize(_stretches(pages).mapInPandas(_difference, _LINES), "lines")
 
     on_page = lines.groupBy("host", "tpl", "slug").agg(F.max("titled").alias("titled"), F.max("shared").alias("shared"), F.count(F.lit(1)).alias("n"), F.sum((F.col("next") == "prose").cast("int")).alias("prose"), F.sum((F.col("next") == "title").cast("int")).alias("titles"))
     on_site = on_page.groupBy("host", "tpl").agg(F.max("titled").alias("titled"), F.count(F.lit(1)).alias("pages"), F.sum(F.col("shared").cast("int")).alias("hits"), F.sum("n").alias("n"), F.sum("prose").alias("prose"), F.sum("titles").alias("titles"))

@@ -250,3 +250,25 @@ def test_link_entries_of_two_sites_count_among_many(spark):
     mdf = spark.createDataFrame(manifest, "slug string, url string, title string, fetched_at string")
     got = {tuple(r) for r in boilerplate.furniture_lines(bdf, mdf).collect()}
     assert {(500, 1), (502, 1)} <= got and (501, 1) not in got
+
+
+def test_neighbours_meet_across_partitions(spark):
+    """Sites of two pages, in more partitions than there are pages: what the two share is found wherever a partition ends."""
+    blocks, manifest, want = [], [], set()
+    word = lambda i: "".join(chr(97 + (i // 26**k) % 26) for k in range(3))
+    for i in range(24):
+        slug, url = f"s{i}", f"https://{word(i // 2)}.test/{i}"
+        manifest.append((slug, url, None, "2025-01-01"))
+        blocks += [(2 * i, slug, url, 0, f"Run by {word(i // 2)}{word(i // 2)} and friends"), (2 * i + 1, slug, url, 1, f"Page {word(i)}x{word(i + 50)} is its own here.")]
+        want.add((2 * i, 1))
+    bdf = spark.createDataFrame(blocks, "block_id long, slug string, url string, block_ord int, text string")
+    mdf = spark.createDataFrame(manifest, "slug string, url string, title string, fetched_at string")
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "30"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert {tuple(r) for r in boilerplate.furniture_lines(bdf, mdf).collect()} == want
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
