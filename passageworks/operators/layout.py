@@ -94,16 +94,21 @@ def split_parameters(lines: DataFrame, by: str = "doc") -> DataFrame:
     return head.join(_joined(parts.filter(~starts_parameter()), [by, "part"]), [by, "part"])
 
 
+def _deepest(entries: DataFrame) -> int:
+    """The greatest level, 1 at least."""
+    return max(1, int(entries.agg(F.max("level")).first()[0] or 1))
+
+
 def outline_ends(outline: DataFrame, pages: int, doc: str = "doc") -> DataFrame:
     """outline (doc, index, level, title, page) with end_page (page of the next entry of the same or a higher level, else `pages`), end_index (that
     entry, null at the end) and path.
 
     The next entry is found per level: for each of the few levels up to the entry's own, the nearest later index of that level by a
-    window, and the least of them.
+    window, and the least of them. The greatest level is taken from the data.
     """
     w = Window.partitionBy(doc).orderBy("index").rowsBetween(1, Window.unboundedFollowing)
     u = Window.partitionBy(doc).orderBy("index").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    top = 12  # outline levels beyond this share a slot
+    top = _deepest(outline)
     nxt = [F.first(F.when(F.col("level") == n, F.struct("index", "page")), ignorenulls=True).over(w).alias(f"_n{n}") for n in range(1, top + 1)]
     last = [F.last(F.when(F.col("level") == n, F.struct("index", "title")), ignorenulls=True).over(u).alias(f"_u{n}") for n in range(1, top + 1)]
     e = outline.select("*", *nxt, *last)
@@ -154,7 +159,7 @@ def select_roots(entries: DataFrame, outermost: bool = True) -> DataFrame:
     """
     w = Window.partitionBy("doc").orderBy("index").rowsBetween(Window.unboundedPreceding, -1)
     after = Window.partitionBy("doc").orderBy("index").rowsBetween(1, Window.unboundedFollowing)
-    top = 12
+    top = max(2, _deepest(entries))
     if outermost:
         ends = [F.max(F.when(F.col("level") == n, F.col("end_page"))).over(w).alias(f"_e{n}") for n in range(1, top)]
         hit = F.exists(F.array(*[F.struct(F.lit(n).alias("l"), F.col(f"_e{n}").alias("e")) for n in range(1, top)]), lambda x: (x["l"] < F.col("level")) & (x["e"] >= F.col("end_page")))

@@ -149,6 +149,17 @@ def test_outline(spark):
     assert {r["title"] for r in layout.select_roots(e, False).collect()} == {"C", "D", "E"}
 
 
+def test_outline_of_fifteen_levels(spark):
+    """Levels 1 to 15 below each other, a second entry of level 14, and one of level 1."""
+    rows = [("m", n - 1, n, f"T{n}", n) for n in range(1, 16)] + [("m", 15, 14, "U", 16), ("m", 16, 1, "V", 18)]
+    e = layout.outline_ends(spark.createDataFrame(rows, "doc string, index long, level int, title string, page int"), 20)
+    got = {r["title"]: (r["end_page"], r["path"]) for r in e.collect()}
+    titles = [f"T{n}" for n in range(1, 16)]
+    assert got == {f"T{n}": (16 if n > 13 else 18, titles[:n]) for n in range(1, 16)} | {"U": (18, [*titles[:13], "U"]), "V": (20, ["V"])}
+    assert {r["title"] for r in layout.select_roots(e).collect()} == {"T1", "V"}
+    assert {r["title"] for r in layout.select_roots(e, False).collect()} == {"T15", "U", "V"}
+
+
 def test_documents_of_a_layout(spark):
     o = spark.createDataFrame([("m", 0, 1, "Chapter 1. Start", 1), ("m", 1, 2, "1.1. Settings", 1), ("m", 2, 1, "Chapter 2. End", 3)], "doc string, index long, level int, title string, page int")
     t = [
