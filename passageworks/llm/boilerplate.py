@@ -2,37 +2,46 @@
 
 Pages are put in order of (host, URL path), so a page's neighbours are the pages of its site with the nearest URLs. Each page is
 aligned with its neighbours line by line, by a longest common subsequence over line templates (numbers, the host, the page's
-own title and title phrases are placeholders), and shared lines are what the site puts around its pages. A range-partitioned sort
-cuts the order into stretches, each of which also gets the pages beside it, so neither a site with a third of all pages nor a self-join is a problem.
-
-Three things follow from the shared lines of the whole corpus. A template that most of its pages on a site share is furniture
-there; one that is furniture on several sites, or is found on at least WIDE sites, is furniture everywhere, which serves
-sites with a single page. Authors share lines too (headings like "Notes", table heads, labelled notes): a short line that is mostly followed by prose in the same
-block is a heading. Titles that follow a list label of the furniture (related pages, contents) go with it, and so does a block of nothing but
-three or more titles. What stands before the page's own title line is not body.
+own title and title phrases are placeholders), and shared lines are what the site puts around its pages. Pages go through the alignment
+as arrays of template hashes, so a long page is a few bytes a line and the alignment is exact at every length. One range-partitioned sort
+brings neighbours together; the pages at the ends of ranges meet in a second, small pass, so it doesn't matter where ranges end.
+
+What the shared lines show is then carried to the whole corpus. A template that most of its pages on a site share is furniture there. One
+that is furniture on several sites, or that pages of different content hold on several sites, is furniture everywhere, which serves
+sites with a single page that have nothing to be aligned with. It is none if more of the sites with neighbours show it on single pages than
+share it: that is how lines that authors have in common look (labelled notes, quotations). Pages of one content, such as mirrors, count
+once. A short line that is mostly followed by prose in the same block is a heading; rows of a table are body. Titles that follow a list label of the furniture (related pages, contents) go with
+it, and so does a block of nothing but three or more titles. What stands before the page's own title line is not body.
 """
 
 from __future__ import annotations
 
 import re
+from collections import deque
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
 
 NEIGHBOURS = 2
+#: Sites whose agreement makes a template furniture where no alignment can tell.
 WIDE = 3
-#: Stretches of the URL order for each task, so that tasks get like shares.
-STRETCHES = 4
-LONGEST = 1_500
-#: Blocks of one page that are handled in one piece; longer pages are compared piece by piece, each with its neighbours' pieces.
-PIECE = 1_000
+#: A template of a site with more than this share of all lines is joined by broadcast: at most HOT_LINES of them can exist.
+HOT_LINES = 2_000
 #: Words of an entry of a link row or menu, at most.
 ENTRY_WORDS = 3
+#: Bits of alignment state kept for the way back; longer pages are halved first, with the same result.
+STATE_BITS = 400_000_000
 TITLE, PHRASE, HOST, CELL = "<T>", "<L>", "<H>", " ¦ "
+#: What kind of line it is, and what the alignment shows.
+TITLED, OWN, BEFORE_PROSE, BEFORE_TITLE, ROW, SHORT, LINKS = (1 << i for i in range(7))
+SHARED, FIRST, HIT, MET = 1, 2, 4, 8
 
 _PHRASE = re.compile(r"[A-Z][A-Za-z]*[a-z][A-Za-z]*(?: (?:and |of |the |for )?[A-Z][A-Za-z]*)+")
 _BARE = re.compile(rf"(?:The )?(?:{_PHRASE.pattern})$")
@@ -40,8 +49,8 @@ _GAP = re.compile(r"\s*\t\s*|\s{2,}")
 _DIGITS = re.compile(r"\d+")
 _SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"\w+")
-_NOTE = re.compile(r"^(?:Note|Tip|Important|Caution|Warning|Hint|Example)s?: \S")
 _PROSE = re.compile(r"[.!?:;]$|`")
+_NO_LINKS = re.compile(r"[0-9_]|[.!?]$")
 
 
 def template(line: str, host: str, title: str) -> tuple[str, bool]:
@@ -60,92 +69,158 @@ def template(line: str, host: str, title: str) -> tuple[str, bool]:
     return _DIGITS.sub("#", _PHRASE.sub(PHRASE, t)), False
 
 
-def lcs(a: list[str], b: list[str]) -> list[tuple[int, int]]:
-    """Index pairs of a longest common subsequence. Sequences over LONGEST shared lines are aligned stretch by stretch."""
+def lcs(a: list, b: list) -> list[tuple[int, int]]:
+    """Index pairs of a longest common subsequence, in order; exact at every length.
+
+    One bit of state for each item of b, updated for each item of a by whole-number arithmetic; the way back reads the kept
+    states. Where those would exceed STATE_BITS, a is halved and the best place to halve b found from both ends first.
+    """
     common = set(a) & set(b)
     ia, ib = [i for i, x in enumerate(a) if x in common], [j for j, x in enumerate(b) if x in common]
-    out: list[tuple[int, int]] = []
-    for at in range(0, max(len(ia), len(ib)), LONGEST):
-        out += _lcs(a, b, ia[at : at + LONGEST], ib[at : at + LONGEST])
-    return out
+    head = 0
+    while head < len(ia) and head < len(ib) and a[ia[head]] == b[ib[head]]:
+        head += 1
+    tail = 0
+    while tail < min(len(ia), len(ib)) - head and a[ia[-1 - tail]] == b[ib[-1 - tail]]:
+        tail += 1
+    xs, ys = ia[head : len(ia) - tail], ib[head : len(ib) - tail]
+    found = _align([a[i] for i in xs], [b[j] for j in ys])
+    return list(zip(ia[:head], ib[:head])) + [(xs[i], ys[j]) for i, j in found] + list(zip(ia[len(ia) - tail :], ib[len(ib) - tail :]))
+
+
+def _states(a: list, b: list) -> Iterator[int]:
+    """After each item of a, a whole number whose bit j is 0 where the common length grows between b[:j] and b[:j + 1]."""
+    at: dict = {}
+    for j, x in enumerate(b):
+        at[x] = at.get(x, 0) | 1 << j
+    every = (1 << len(b)) - 1
+    v = every
+    for x in a:
+        u = v & at.get(x, 0)
+        v = (v + u | v - u) & every
+        yield v
+
+
+def _lengths(a: list, b: list) -> np.ndarray:
+    """Common length of a with each b[:j]."""
+    v = (1 << len(b)) - 1
+    for v in _states(a, b):  # noqa: B007
+        pass
+    bits = np.unpackbits(np.frombuffer(v.to_bytes(len(b) // 8 + 1, "little"), np.uint8), bitorder="little")[: len(b)]
+    return np.concatenate([[0], np.cumsum(1 - bits.astype(np.int64))])
+
+
+def _align(a: list, b: list) -> list[tuple[int, int]]:
+    if not a or not b:
+        return []
+    if len(a) > 1 and len(a) * len(b) > STATE_BITS:
+        m = len(a) // 2
+        k = int(np.argmax(_lengths(a[:m], b) + _lengths(a[m:][::-1], b[::-1])[::-1]))
+        return _align(a[:m], b[:k]) + [(i + m, j + k) for i, j in _align(a[m:], b[k:])]
+    states = list(_states(a, b))
+    i, j, out = len(a), len(b), []
+    while i and j:
+        if states[i - 1] >> (j - 1) & 1:
+            j -= 1
+        else:
+            i -= 1
+            if not i or states[i - 1] >> (j - 1) & 1:
+                j -= 1
+                out.append((i, j))
+    return out[::-1]
 
 
-def _lcs(a: list[str], b: list[str], ia: list[int], ib: list[int]) -> list[tuple[int, int]]:
-    out = []
-    while ia and ib and a[ia[0]] == b[ib[0]]:
-        out.append((ia[0], ib[0]))
-        ia, ib = ia[1:], ib[1:]
-    tail = []
-    while ia and ib and a[ia[-1]] == b[ib[-1]]:
-        tail.append((ia[-1], ib[-1]))
-        ia, ib = ia[:-1], ib[:-1]
-    n, m = len(ia), len(ib)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        x, row, below = a[ia[i]], best[i], best[i + 1]
-        for j in range(m - 1, -1, -1):
-            row[j] = below[j + 1] + 1 if x == b[ib[j]] else max(below[j], row[j + 1])
-    i = j = 0
-    while i < n and j < m:
-        if a[ia[i]] == b[ib[j]]:
-            out.append((ia[i], ib[j]))
-            i, j = i + 1, j + 1
-        elif best[i + 1][j] >= best[i][j + 1]:
-            i += 1
-        else:
-            j += 1
-    return out + tail
+_LINES = "slug string, host string, block_ord int, block_id bigint, line_no int, line string, key bigint, bits int"
 
 
-class _Page:
-    def __init__(self, host: str, piece: int, slug: str, title: str, blocks: list[tuple]):
-        self.host, self.piece, self.slug = host, piece, slug
-        self.stretch, self.own = 0, True
-        self.rows, self.tpl = [], []
-        for block_id, text in blocks:
+def _lines(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The non-blank lines of blocks with the hash of their template and what kind of line they are."""
+    names = [c.split()[0] for c in _LINES.split(", ")]
+    types = [pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int32()]
+    for batch in it:
+        cols = [[] for _ in names]
+        for slug, host, title, order, block, text in zip(*(batch.column(c).to_pylist() for c in ("slug", "host", "title", "block_ord", "block_id", "text"))):
             lines = text.split("\n")
-            tpls = [template(x, host, title) for x in lines]
-            for k, (line, (t, bare)) in enumerate(zip(lines, tpls)):
-                if t:
-                    nxt = next(((lines[j], tpls[j][1]) for j in range(k + 1, len(lines)) if tpls[j][0]), None)
-                    then = "" if nxt is None else "title" if nxt[1] else "prose" if len(nxt[0].split()) > 3 and _PROSE.search(nxt[0].strip()) else "other"
-                    self.rows.append((block_id, k + 1, line.strip(), t, bare, then))
-                    self.tpl.append(t)
-        self.shared = [False] * len(self.rows)
-        own = [i for i, t in enumerate(self.tpl) if t == TITLE]
-        self.body_from = own[0] if own and not piece else 0
+            told = [(k, x.strip(), *template(x, host, title or "")) for k, x in enumerate(lines, 1)]
+            told = [x for x in told if x[2]]
+            for i, (k, line, t, bare) in enumerate(told):
+                after = told[i + 1] if i + 1 < len(told) else None
+                prose = after is not None and not after[3] and len(after[1].split()) > 3 and _PROSE.search(after[1]) is not None
+                bits = bare * TITLED | (t == TITLE) * OWN | prose * BEFORE_PROSE | (after is not None and after[3]) * BEFORE_TITLE
+                bits |= t.startswith("|") * ROW | (t.count(" ") < 4) * SHORT | (not _NO_LINKS.search(line)) * LINKS
+                key = xxhash.xxh64_intdigest(t) - (1 << 63)
+                for c, v in zip(cols, (slug, host, order, block, k, line, key, bits | min(len(t), 1 << 20) << 8)):
+                    c.append(v)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
+
+
+class _Page:
+    """A page in URL order: the hashes that can be aligned, which of its lines are shared, and whether it has met a neighbour."""
+
+    __slots__ = ("host", "keys", "met", "place", "shared", "tpl", "use")
+
+    def __init__(self, host: str, place: int, keys: np.ndarray, bits: np.ndarray, marks: list[int] | None):
+        self.host, self.place, self.keys = host, place, keys
+        self.use = np.flatnonzero(bits & OWN == 0)
+        self.tpl = keys[self.use].tolist()
+        old = np.zeros(len(keys), np.int8) if marks is None else np.array(marks, np.int8)
+        self.shared, self.met = old & SHARED != 0, bool((old & MET).any())
 
     def meet(self, other: _Page) -> None:
-        a, b = [t if t != TITLE else f"a{i}" for i, t in enumerate(self.tpl)], [t if t != TITLE else f"b{i}" for i, t in enumerate(other.tpl)]
-        for i, j in lcs(a, b):
-            self.shared[i] = other.shared[j] = True
-
-    def out(self) -> list[tuple]:
-        return self.own * [(self.slug, self.host, b, k, line, t, bare, then, s, i < self.body_from) for i, ((b, k, line, t, bare, then), s) in enumerate(zip(self.rows, self.shared))]
-
-
-_LINES = "slug string, host string, block_id bigint, line_no int, line string, tpl string, titled boolean, next string, shared boolean, early boolean"
-
-
-def _difference(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pages in URL order, stretch by stretch; each meets the next NEIGHBOURS pages of its host, and those of the stretch are put out."""
-    waiting: list[_Page] = []
-    for pdf in it:
-        rows = []
-        for stretch, own, host, piece, slug, title, blocks in zip(pdf["stretch"], pdf["own"], pdf["host"], pdf["piece"], pdf["slug"], pdf["title"], pdf["blocks"]):
-            page = _Page(host or "", int(piece), slug, title or "", [(b["block_id"], b["text"]) for b in blocks])
-            page.stretch, page.own = int(stretch), bool(own)
-            if waiting and (waiting[0].stretch, waiting[0].host, waiting[0].piece) != (page.stretch, page.host, page.piece):
-                for p in waiting:
-                    rows += p.out()
-                waiting = []
-            for p in waiting:
-                p.meet(page)
-            waiting.append(page)
-            if len(waiting) > NEIGHBOURS:
-                rows += waiting.pop(0).out()
-        yield pd.DataFrame(rows, columns=[c.split()[0] for c in _LINES.split(", ")])
-    yield pd.DataFrame([r for p in waiting for r in p.out()], columns=[c.split()[0] for c in _LINES.split(", ")])
+        self.met = other.met = True
+        pairs = lcs(self.tpl, other.tpl)
+        if pairs:
+            i, j = zip(*pairs)
+            self.shared[self.use[list(i)]] = True
+            other.shared[other.use[list(j)]] = True
+
+    def marks(self) -> np.ndarray:
+        """For each line whether it is shared, whether it is the first of its template on the page and one of those is shared, and met."""
+        _, first, which = np.unique(self.keys, return_index=True, return_inverse=True)
+        out = self.shared.astype(np.int8) * SHARED + np.int8(self.met * MET)
+        out[first] += np.int8(FIRST) + np.int8(HIT) * (np.bincount(which[self.shared], minlength=len(first)) > 0).astype(np.int8)
+        return out
+
+
+def _difference(edges: bool):
+    """Pages in URL order; each meets the next NEIGHBOURS pages of its host. Adds `marks` for each line, and `place` in the range for the
+    pages within NEIGHBOURS of its ends. With `edges`, those pages of all ranges, in order, meet again, now across ranges."""
+
+    def out(batch: pa.RecordBatch, pages: list[_Page], last: int) -> pa.RecordBatch:
+        place = [p.place if p.place < NEIGHBOURS or last - p.place < NEIGHBOURS else None for p in pages]
+        keep = [batch.column(c) for c in _KEPT]
+        return pa.RecordBatch.from_arrays([*keep, pa.array([p.marks() for p in pages], pa.list_(pa.int8())), pa.array(place, pa.int32())], names=[*_KEPT, "marks", "place"])
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: deque[tuple[pa.RecordBatch, list[_Page]]] = deque()
+        near: deque[_Page] = deque(maxlen=NEIGHBOURS)
+        place, base, of = -1, 0, None
+        for batch in it:
+            if not len(batch):
+                continue
+            xs = batch.column("xs")
+            flat, ends = xs.flatten(), np.cumsum(xs.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)).tolist()
+            key, bits = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("key", "bits"))
+            old, told = (batch.column(c).to_pylist() if edges else [None] * len(batch) for c in ("marks", "place"))
+            pages, begin = [], 0
+            for k, (host, rng) in enumerate(zip(batch.column("host").to_pylist(), batch.column("range").to_pylist())):
+                if rng != of:
+                    of, base = rng, place + 1
+                place = base + told[k] if edges else place + 1
+                page = _Page(host, place, key[begin : ends[k]], bits[begin : ends[k]], old[k])
+                begin = ends[k]
+                for p in near:
+                    if p.host == host and place - p.place <= NEIGHBOURS:
+                        p.meet(page)
+                near.append(page)
+                pages.append(page)
+            held.append((batch, pages))
+            while held[0][1][-1].place + NEIGHBOURS <= place and not any(p is q for p in held[0][1] for q in near):
+                yield out(*held.popleft(), place)
+        for x in held:
+            yield out(*x, place)
+
+    return run
 
 
 def address(url):
@@ -156,75 +231,114 @@ def address(url):
     return host, path
 
 
-def _stretches(pages: DataFrame) -> DataFrame:
-    """Pages in URL order within stretches of that order: stretch, own, host, piece, slug, title, blocks. A stretch also holds
-    the NEIGHBOURS pages before and behind it, not as its own, so it doesn't matter where stretches end."""
-    tasks = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = ["host", "piece", "path", "slug", "page"]
-    pages = pages.withColumn("page", F.col("blocks")[0]["block_id"])
-    at = pages.select(*order).repartitionByRange(STRETCHES * tasks, *order).sortWithinPartitions(*order)
-    at = materialize(at.select("page", F.spark_partition_id().alias("stretch"), F.monotonically_increasing_id().alias("at")), "stretches")
-    ends = at.groupBy("stretch").agg(F.min("at").alias("first"), F.max("at").alias("last"))
-    edge = at.join(ends, "stretch").filter((F.col("at") - F.col("first") < NEIGHBOURS) | (F.col("last") - F.col("at") < NEIGHBOURS))
-    by = Window.partitionBy().orderBy("at")  # at most 2 * NEIGHBOURS rows a stretch
-    near = F.array(*[f("stretch", k).over(by) for k in range(1, NEIGHBOURS + 1) for f in (F.lag, F.lead)])
-    beside = edge.select("page", F.col("stretch").alias("of"), near.alias("near")).select("page", "of", F.explode(F.array_distinct(F.array_compact("near"))).alias("stretch")).filter("stretch <> of")
-    where = at.select("page", "stretch", F.lit(True).alias("own")).unionByName(beside.select("page", "stretch", F.lit(False).alias("own")))
-    return pages.join(where, "page").repartition(tasks, "stretch").sortWithinPartitions("stretch", *order).select("stretch", "own", "host", "piece", "slug", "title", "blocks")
+_KEPT = ("slug", "host", "path", "witness", "range", "xs")
+_PAGE = "slug string, host string, path string, witness boolean, range int, xs array<struct<block_ord:int,block_id:bigint,line_no:int,key:bigint,bits:int>>, marks array<tinyint>, place int"
 
 
-def page_lines(blocks: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Every non-blank line of every page with `furniture` and the evidence for it: slug, host, block_id, line_no, line, tpl, furniture.
+def _bit(name: int, of: str = "bits") -> Column:
+    return F.col(of).bitwiseAND(F.lit(name)) != 0
+
+
+def _sum(test: Column) -> Column:
+    return F.sum(test.cast("bigint"))
+
+
+def _read_lines(blocks: DataFrame, manifest: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every non-blank line once (slug, host, block_ord, block_id, line_no, line, key, bits), and each page's slug and path."""
+    one = blocks.select("block_id", "slug", "url", "block_ord", F.col("text").cast("string").alias("text")).filter("block_id IS NOT NULL AND text IS NOT NULL")
+    one = one.groupBy("block_id").agg(F.min(F.struct("slug", "block_ord", "text", "url")).alias("b")).select("block_id", F.coalesce("b.slug", F.lit("")).alias("slug"), F.coalesce("b.block_ord", F.lit(0)).cast("int").alias("block_ord"), "b.text", "b.url")
+    title = F.trim(F.regexp_replace("title", r"\s+", " "))
+    told = manifest.filter("slug IS NOT NULL").select("slug", F.col("url").alias("m_url"), F.lit(None).cast("string").alias("b_url"), F.when(title != "", F.struct(F.coalesce("fetched_at", F.lit("")).alias("at"), title.alias("title"))).alias("named"))
+    told = told.unionByName(one.select("slug", F.lit(None).cast("string").alias("m_url"), F.col("url").alias("b_url"), F.lit(None).cast("struct<at:string,title:string>").alias("named")))
+    told = told.groupBy("slug").agg(F.max("m_url").alias("m"), F.max("b_url").alias("b"), F.max("named")["title"].alias("title"))
+    host, path = address(F.coalesce("m", "b"))
+    told = told.select("slug", F.coalesce(F.nullif(host, F.lit("")), F.concat(F.lit("?"), "slug")).alias("host"), path.alias("path"), "title")
+    read = one.join(told, "slug").select("slug", "host", "title", "block_ord", "block_id", "text").mapInArrow(_lines, _LINES)
+    return materialize(read, "lines"), told.select("slug", "path")
+
+
+def _aligned(lines: DataFrame, paths: DataFrame) -> DataFrame:
+    """Each line with what the alignment shows: slug, host, witness, early, block_id, line_no, key, bits, marks.
+
+    Of the pages whose longest line is the same, those of one host are witnesses; the others may be mirrors and prove nothing more.
+    """
+    content = lines.groupBy("slug", "host").agg(F.max(F.struct(F.shiftright("bits", 8).alias("n"), "key"))["key"].alias("content"))
+    witness = content.join(content.groupBy("content").agg(F.min("host").alias("_h")), "content").select("slug", (F.col("host") == F.col("_h")).alias("witness"))
+    pages = lines.groupBy("slug", "host").agg(F.sort_array(F.collect_list(F.struct("block_ord", "block_id", "line_no", "key", "bits"))).alias("xs"))
+    pages = materialize(pages.join(paths, "slug").join(witness, "slug"), "pages")
+    order = ["host", "path", "slug"]
+    ranged = pages.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("range", F.spark_partition_id())
+    first = materialize(ranged.select(*_KEPT).mapInArrow(_difference(False), _PAGE), "differences")
+    # At most 2 * NEIGHBOURS pages a range.
+    edges = first.filter("place IS NOT NULL").repartition(1).sortWithinPartitions("range", "place").mapInArrow(_difference(True), _PAGE)
+    both = first.filter("place IS NULL").unionByName(edges)
+    own = F.array_position(F.transform("xs", lambda x: x["bits"].bitwiseAND(F.lit(OWN)) != 0), True)  # 0: no own title
+    flat = both.select("slug", "host", "witness", own.alias("own"), F.posexplode(F.arrays_zip("xs", "marks")).alias("at", "x"))
+    flat = flat.select("slug", "host", "witness", (F.col("at") + 1 < F.col("own")).alias("early"), "x.xs.block_id", "x.xs.line_no", "x.xs.key", "x.xs.bits", "x.marks")
+    return materialize(flat, "aligned")
+
+
+def _templates(flat: DataFrame) -> DataFrame:
+    """host, key, n, list: the templates that are furniture on the host; list: titles mostly follow."""
+    titled = F.max(_bit(TITLED)).alias("titled")
+    on_site = flat.groupBy("host", "key").agg(titled, _sum(_bit(FIRST, "marks")).alias("pages"), _sum(_bit(HIT, "marks")).alias("hits"), F.count(F.lit(1)).alias("n"), _sum(_bit(BEFORE_PROSE)).alias("prose"), _sum(_bit(BEFORE_TITLE)).alias("titles"), F.max(_bit(ROW) | _bit(OWN)).alias("off"), F.max(_bit(SHORT)).alias("short"), F.max("witness").alias("witness"), F.max(_bit(MET, "marks")).alias("met"))
+    on_site = on_site.withColumn("site", (F.col("pages") >= F.when(F.col("titled"), 3).otherwise(2)) & (F.col("hits") * 2 >= F.col("pages")))
+    overall = on_site.groupBy("key").agg(_sum(F.col("site")).alias("sites"), _sum(F.col("met") & ~F.col("site")).alias("against"), _sum(~F.col("titled") & F.col("witness")).alias("hosts"), (F.sum("prose") / F.sum("n")).alias("prose_share"), (F.sum("titles") / F.sum("n")).alias("title_share"), F.max("off").alias("off"), F.max("short").alias("short"))
+    overall = overall.withColumn("wide", (F.col("sites") >= 2) | (F.col("hosts") >= WIDE))
+    # More sites with neighbours that show it on single pages than that share it: their authors wrote it.
+    heading = F.col("short") & (F.col("prose_share") >= 0.5)
+    overall = overall.filter((F.col("against") <= F.col("sites")) & ~F.col("off") & ~heading & ((F.col("sites") > 0) | F.col("wide")))
+    here = on_site.select("host", "key", "site", "n").join(overall.select("key", "wide", (F.col("title_share") >= 0.4).alias("list")), "key").filter("site OR wide")
+    return materialize(here.select("host", "key", "n", "list"), "templates")
+
+
+def _with_templates(rows: DataFrame, known: DataFrame, total: int, how: str) -> DataFrame:
+    """Rows joined with the templates of their host: "left" adds `list`, null where the template is not known, "left_semi" keeps known ones.
+
+    Templates that make up more than 1 / HOT_LINES of the `total` lines, of which there can be no more than HOT_LINES, are broadcast.
+    """
+    hot = F.broadcast(known.filter(F.col("n") * HOT_LINES > total).select("host", "key", "list"))
+    cold = known.filter(F.col("n") * HOT_LINES <= total).select("host", "key", "list")
+    rest = rows.join(hot, ["host", "key"], "left_anti").join(cold, ["host", "key"], how)
+    return rows.join(hot, ["host", "key"], "inner" if how == "left" else how).unionByName(rest)
+
+
+def page_lines(blocks: DataFrame, manifest: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(marked, lines). marked: block_id, line_no, furniture of every non-blank line; lines: slug, block_ord, block_id, line_no, line.
 
     blocks: block_id, slug, url, block_ord, text; manifest: slug, url, title, fetched_at; other columns are not read. Rows that
     repeat a block_id count once, and of a page's fetches the latest names its title. Addresses are compared without
     scheme, case of the host, query and fragment; a page whose address is nowhere recorded is its own site. Null texts and blank
-    lines have no row. A page missing from the manifest has no known title; an empty input has an empty result.
+    lines have no row. A page missing from the manifest has no known title; an empty input has an empty result. A page's lines are
+    aligned in one task, at 28 bytes a line. Templates are told apart by 64-bit hashes.
     """
-    one = blocks.select("block_id", "slug", "url", "block_ord", F.col("text").cast("string").alias("text")).filter("block_id IS NOT NULL AND text IS NOT NULL")
-    one = one.groupBy("block_id").agg(F.min(F.struct("slug", "block_ord", "text", "url")).alias("b")).select("block_id", "b.*")
-    m = manifest.filter("slug IS NOT NULL").groupBy("slug").agg(F.max(F.struct(F.coalesce("fetched_at", F.lit("")), F.when(F.trim("title") != "", F.trim(F.regexp_replace("title", r"\s+", " "))).alias("title"))).alias("t"), F.max(F.when(F.trim("title") != "", F.struct("fetched_at", F.trim(F.regexp_replace("title", r"\s+", " ")).alias("title")))).alias("named"), F.max("url").alias("m_url"))
-    m = m.select("slug", F.col("named.title").alias("title"), "m_url")
-    piece = F.floor(F.coalesce("block_ord", F.lit(0)) / F.lit(PIECE)).cast("int")
-    urls = one.groupBy("slug").agg(F.max("url").alias("b_url"))
-    pages = one.groupBy("slug", piece.alias("piece")).agg(F.sort_array(F.collect_list(F.struct("block_ord", "block_id", "text"))).alias("blocks"))
-    host, path = address(F.coalesce("m_url", "b_url"))
-    told = urls.join(m, "slug", "left").select(F.col("slug").alias("_s"), "title", "m_url", "b_url")
-    pages = pages.join(told, F.col("slug").eqNullSafe(F.col("_s"))).select("piece", F.coalesce(F.nullif(host, F.lit("")), F.concat(F.lit("?"), F.coalesce("slug", F.lit("")))).alias("host"), path.alias("path"), F.coalesce("slug", F.lit("")).alias("slug"), "title", "blocks")
-    lines = materialize(_stretches(pages).mapInPandas(_difference, _LINES), "lines")
-
-    on_page = lines.groupBy("host", "tpl", "slug").agg(F.max("titled").alias("titled"), F.max("shared").alias("shared"), F.count(F.lit(1)).alias("n"), F.sum((F.col("next") == "prose").cast("int")).alias("prose"), F.sum((F.col("next") == "title").cast("int")).alias("titles"))
-    on_site = on_page.groupBy("host", "tpl").agg(F.max("titled").alias("titled"), F.count(F.lit(1)).alias("pages"), F.sum(F.col("shared").cast("int")).alias("hits"), F.sum("n").alias("n"), F.sum("prose").alias("prose"), F.sum("titles").alias("titles"))
-    on_site = on_site.withColumn("site", (F.col("pages") >= F.when(F.col("titled"), 3).otherwise(2)) & (F.col("hits") * 2 >= F.col("pages")))
-    overall = on_site.groupBy("tpl").agg(F.sum(F.col("site").cast("int")).alias("sites"), F.sum((~F.col("titled")).cast("int")).alias("hosts"), (F.sum("prose") / F.sum("n")).alias("prose_share"), (F.sum("titles") / F.sum("n")).alias("title_share"))
-    plain = (F.col("tpl") != TITLE) & ~F.col("tpl").startswith("|") & ~F.col("tpl").startswith("- ") & ~F.col("tpl").rlike(_NOTE.pattern)
-    heading = (F.col("prose_share") >= 0.5) & (F.size(F.split("tpl", " ")) <= 4)
-    overall = materialize(overall.filter(((F.col("sites") > 0) | (F.col("hosts") >= WIDE)) & plain & ~heading).select("tpl", "sites", "hosts", "title_share"), "templates")
-    here = on_site.filter("site").select("host", "tpl", F.lit(True).alias("here"))
-    marked = lines.join(overall, "tpl", "left").join(here, ["host", "tpl"], "left")
-    marked = marked.withColumn("known", F.col("sites").isNotNull() & (F.coalesce("here", F.lit(False)) | (F.col("sites") >= 2) | (F.col("hosts") >= WIDE)))
-
-    links = materialize(_link_rows(lines, _link_entries(lines, overall)), "links")
-    marked = marked.join(links, "line", "left").fillna(0, ["links"])
+    lines, paths = _read_lines(blocks, manifest)
+    flat = _aligned(lines, paths)
+    known, total = _templates(flat), flat.count()
+
+    texts = lines.filter(_bit(LINKS)).select("host", "key", "block_id", "line_no", "line")
+    links = _link_rows(texts, _link_entries(_with_templates(texts, known, total, "left_semi")))
+    rows = _with_templates(flat.select("host", "key", "block_id", "line_no", "bits", "early"), known, total, "left").join(links, ["block_id", "line_no"], "left")
     by_block = Window.partitionBy("block_id").orderBy("line_no")
-    row = (F.col("links") == 2) | ((F.col("links") == 1) & ((F.lag("links").over(by_block) > 0) | (F.lead("links").over(by_block) > 0)))
-    marked = marked.withColumn("_row", F.coalesce(row, F.lit(False))).withColumn("_everywhere", F.col("known")).withColumn("known", F.col("known") | (F.col("_row") & plain))
+    beside = (F.lag("links").over(by_block) > 0) | (F.lead("links").over(by_block) > 0)
+    row = F.coalesce((F.col("links") == 2) | ((F.col("links") == 1) & beside), F.lit(False)) & ~_bit(ROW) & ~_bit(OWN)
+    known_here = F.col("list").isNotNull()
     # A title that is known only as a link does not end the list that it stands in.
-    label = F.when(~F.col("titled") | F.col("_everywhere") | (F.col("tpl") == TITLE), F.struct("known", (F.coalesce("title_share", F.lit(0.0)) >= 0.4).alias("list")))
-    before = F.last(label, ignorenulls=True).over(Window.partitionBy("block_id").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1))
-    listed = F.col("titled") & (F.col("tpl") != TITLE) & F.coalesce(before["known"] & before["list"], F.lit(False))
+    label = F.when(~_bit(TITLED) | known_here | _bit(OWN), F.struct((known_here | row).alias("known"), F.coalesce("list", F.lit(False)).alias("list")))
+    rows = rows.select("block_id", "line_no", "early", (known_here | row).alias("known"), (_bit(TITLED) & ~_bit(OWN)).alias("other"), label.alias("label"))
+    before = F.last("label", ignorenulls=True).over(by_block.rowsBetween(Window.unboundedPreceding, -1))
     whole = Window.partitionBy("block_id")
-    listed = listed | ((F.count(F.lit(1)).over(whole) >= 3) & (F.sum((F.col("titled") & (F.col("tpl") != TITLE)).cast("int")).over(whole) == F.count(F.lit(1)).over(whole)))
-    return marked.withColumn("_l", listed).withColumn("furniture", F.col("known") | F.col("_l") | F.col("early")).select("slug", "host", "block_id", "line_no", "line", "tpl", "furniture")
+    n, others = F.count(F.lit(1)).over(whole), F.sum(F.col("other").cast("int")).over(whole)
+    listed = (F.col("other") & F.coalesce(before["known"] & before["list"], F.lit(False))) | ((n >= 3) & (others == n))
+    return rows.select("block_id", "line_no", (F.col("known") | listed | F.col("early")).alias("furniture")), lines
 
 
-def _link_entries(lines: DataFrame, overall: DataFrame) -> DataFrame:
+def _link_entries(known: DataFrame) -> DataFrame:
     """e: entries of link rows and menus: furniture lines of up to three words, and what separators set apart in longer ones, on
     at least 2 sites, however many sites there are."""
-    rows = lines.join(overall.select("tpl"), "tpl", "left_semi").select("host", "line")
-    entry = rows.select("host", F.explode(F.split("line", r"\s*(?:[|·»›•/*]|\s{2,}|\t)\s*")).alias("e")).withColumn("e", F.lower(F.trim("e")))
+    entry = known.select("host", F.explode(F.split("line", r"\s*(?:[|·»›•/*]|\s{2,}|\t)\s*")).alias("e")).withColumn("e", F.lower(F.trim("e")))
     entry = entry.filter(F.col("e").rlike(r"^\p{L}[\p{L} ]{1,30}$") & (F.size(F.split("e", " ")) <= ENTRY_WORDS))
-    return entry.groupBy("e").agg(F.countDistinct("host").alias("n")).filter("n >= 2").select("e")
+    return entry.groupBy("e").agg(F.min("host").alias("one"), F.max("host").alias("other")).filter("one <> other").select("e")
 
 
 def _runs(line: str) -> list[list[str]]:
@@ -242,13 +356,12 @@ def _runs(line: str) -> list[list[str]]:
     return out
 
 
-def _link_rows(lines: DataFrame, entries: DataFrame) -> DataFrame:
-    """(line, links) of lines that hold entries and no other word. links: 2 is a row of three or more entries or a starred entry,
-    1 is one or two entries. Read from the left, the longest entry counts.
+def _link_rows(texts: DataFrame, entries: DataFrame) -> DataFrame:
+    """(block_id, line_no, links) of lines that hold entries and no other word. links: 2 is a row of three or more entries or a starred
+    entry, 1 is one or two entries. Read from the left, the longest entry counts.
 
     Each different line's runs of words are joined with the entries, so neither the number of entries nor of lines is bound.
     """
-    short = (F.length("line") <= 200) & ~F.substring("line", -1, 1).isin(".", "!", "?") & ~F.col("line").rlike(r"[0-9_]")
 
     def runs(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
@@ -267,18 +380,18 @@ def _link_rows(lines: DataFrame, entries: DataFrame) -> DataFrame:
             out.append(0 if i < len(words) else 2 if n >= 3 or x.startswith("* ") else 1)
         return pd.Series(out, dtype="int32")
 
-    held = lines.select("line").filter(short).distinct().mapInPandas(runs, "line string, e string").join(entries, "e")
-    return held.groupBy("line").agg(F.collect_set("e").alias("e")).select("line", links("line", "e").alias("links")).filter("links > 0")
+    held = texts.select("line").distinct().mapInPandas(runs, "line string, e string").join(entries, "e")
+    found = held.groupBy("line").agg(F.collect_set("e").alias("e")).select("line", links("line", "e").alias("links")).filter("links > 0")
+    return materialize(texts.select("line", "block_id", "line_no").join(found, "line").select("block_id", "line_no", "links"), "links")
 
 
 def body_text(blocks: DataFrame, manifest: DataFrame) -> DataFrame:
     """slug, body: each page's remaining lines in page order; pages without body lines have no row."""
-    keep = page_lines(blocks, manifest).filter("NOT furniture")
-    order = blocks.groupBy("block_id").agg(F.min("block_ord").alias("block_ord"))
-    rows = keep.join(order, "block_id").groupBy("slug").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block_ord", "block_id", "line_no", "line"))), lambda x: x["line"]), "\n").alias("body"))
-    return rows
+    marked, lines = page_lines(blocks, manifest)
+    keep = lines.select("slug", "block_ord", "block_id", "line_no", "line").join(marked.filter("NOT furniture"), ["block_id", "line_no"])
+    return keep.groupBy("slug").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block_ord", "block_id", "line_no", "line"))), lambda x: x["line"]), "\n").alias("body"))
 
 
 def furniture_lines(blocks: DataFrame, manifest: DataFrame) -> DataFrame:
     """(block_id, line_no) of the lines that are not body."""
-    return page_lines(blocks, manifest).filter("furniture").select("block_id", "line_no").distinct()
+    return page_lines(blocks, manifest)[0].filter("furniture").select("block_id", "line_no")
