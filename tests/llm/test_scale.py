@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from passageworks.llm import boilerplate
+from passageworks.llm import boilerplate, matching
 
 BLOCKS = "block_id long, slug string, url string, block_ord int, text string"
 PAGES = "slug string, url string, title string, fetched_at string"
@@ -107,3 +107,58 @@ def test_one_long_page(spark):
     m = spark.createDataFrame([("p1", None, None, None)], PAGES)
     got = {r["block_id"] for r in boilerplate.furniture_lines(spark.createDataFrame(blocks, BLOCKS).withColumn("key", F.lit(1)), m).collect()}
     assert got == {b[0] for b in blocks if b[4] in foot}
+
+
+# Matching
+
+CHUNKS = "chunk_id string, text string, source_format string, pg_version string, section_path array<string>, section_anchor string"
+SIDES = ("html", "pdf")
+
+
+def test_copies_of_a_passage_are_one_node(spark):
+    """450 x 450 records of one stock passage: one node for the untitled copies, an edge to each title, and no pair is lost or emitted twice."""
+    stock = " ".join(f"stock{i}" for i in range(30))
+    rows = [(f"h{i}", f"x\n\n{stock}", "html", "18", ["Book", f"Title {letters(i)}{i}"], None) for i in range(450)]
+    rows += [(f"p{i}", f"x\n\n{stock}", "pdf", "18", None, None) for i in range(450)]
+    prof = matching.profiles(spark.createDataFrame(rows, CHUNKS), SIDES).cache()
+    same = matching.copied(prof)
+    assert same.count() == 450 and {r["copies"] for r in same.select("copies").distinct().collect()} == {450}
+    pairs = matching.candidates(prof, SIDES, same)
+    assert pairs.count() == 450
+    assert matching.matched_chunks(spark.createDataFrame(rows, CHUNKS)).count() == 0
+
+
+def test_copies_send_as_many_messages(spark):
+    """A node of n copies gives each pair the marginal that n single records give it."""
+    w = 1.7
+    single = spark.createDataFrame([("a", f"x{i}", w) for i in range(5)] + [("b", f"x{i}", w / 2) for i in range(5)], "a string, b string, logit double")
+    classed = spark.createDataFrame([("a", "x", w, 1, 5), ("b", "x", w / 2, 1, 5)], "a string, b string, logit double, copies_a long, copies_b long")
+    one = {(r["a"], r["b"]): r["p"] for r in matching.propagate(single, eps=1e-7).collect()}
+    all_ = {(r["a"], r["b"]): r["p"] for r in matching.propagate(classed, eps=1e-7).collect()}
+    assert all(abs(p - all_[a, "x"]) < 1e-5 for (a, _), p in one.items()) and len(all_) == 2
+
+
+def test_unsettled_marginals_are_no_result(spark):
+    edges = spark.createDataFrame([("a", "x", 9.0), ("b", "x", 9.0), ("b", "y", 9.0), ("a", "y", 9.0)], "a string, b string, logit double")
+    with pytest.raises(RuntimeError):
+        matching.propagate(edges, rounds=1, eps=1e-12)
+
+
+def test_large_heading_stays_near_linear(spark):
+    """500 x 500 records under one heading: the same matches as without the layout for large headings, from few pairs."""
+    rng = random.Random(8)
+    vocab = [f"w{i}" for i in range(3000)]
+    rows, want = [], set()
+    for i in range(500):
+        words = rng.choices(vocab, k=40)
+        rows.append((f"h{i}", "x\n\n" + " ".join(words), "html", "18", ["Book", "Notes"], None))
+        # The pdf side has half of the passage, with an edit in each eight words, and text of its own.
+        part = [("zz" if k % 7 == 6 else x) for k, x in enumerate(words[:24])] + rng.choices(vocab, k=16)
+        rows.append((f"p{i}", "x\n\n" + " ".join(part), "pdf", "18", ["Book", "Notes"], None))
+        want.add((f"h{i}", f"p{i}"))
+    df = spark.createDataFrame(rows, CHUNKS)
+    prof = matching.profiles(df, SIDES).cache()
+    pairs = matching.candidates(prof, SIDES)
+    ids = {r["hid"]: r["id"] for r in prof.select("hid", "id").collect()}
+    got = {(ids[r["ha"]], ids[r["hb"]]) for r in pairs.collect()}
+    assert want <= got and len(got) < 10_000

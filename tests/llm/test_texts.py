@@ -155,8 +155,8 @@ def test_matching(spark):
     assert matching.matched_chunks(df.limit(0)).count() == 0
 
 
-def test_hot_keys_lose_no_pair_with_compatible_titles(spark, monkeypatch):
-    """Under hot keys (here of over 4 pairs) all pairs meet but those of two known titles that differ."""
+def test_keys_of_any_size_lose_no_pair_with_compatible_titles(spark, monkeypatch):
+    """Pairs meet unless two known titles differ, whether keys are large (here of over 4 pairs) or not, and no possible match is left out."""
     stock = " ".join(f"stock{i}" for i in range(9))
     titles = [None, None, "Red Gadgets", "Red Gadg...", "Red Gizmos", "Blue", "Re...", "3.1. Blue", "Blue Whales", "Blue…"]
     paths = [t and [f"Parent {k % 3}", t] for k, t in enumerate(titles)]
@@ -165,15 +165,16 @@ def test_hot_keys_lose_no_pair_with_compatible_titles(spark, monkeypatch):
     prof = matching.profiles(df, ("html", "pdf"))
     ids = {r["hid"]: (r["id"], r["title"]) for r in prof.collect()}
     pairs = lambda: {(ids[r["ha"]], ids[r["hb"]]) for r in matching.candidates(prof, ("html", "pdf")).collect()}
-    every = pairs()
-    assert len(every) == len(titles) ** 2
-    edges = lambda: {(r["a"], r["b"], round(r["logit"], 9)) for r in matching.weights(prof, matching.candidates(prof, ("html", "pdf")), ("html", "pdf")).collect()}
-    whole = edges()
-    monkeypatch.setattr(matching, "HOT", 2)
+    edges = lambda of: {(r["a"], r["b"], round(r["logit"], 9)) for r in matching.weights(prof, of, ("html", "pdf")).collect()}
+    every = [(x, y) for x in ids.values() for y in ids.values() if x[0][0] == "h" and y[0][0] == "p"]
+    hids = {i: h for h, (i, _) in ids.items()}
+    whole = edges(spark.createDataFrame([(hids[x[0]], hids[y[0]]) for x, y in every], "ha long, hb long"))
     cut = lambda x, y: len(x) > 4 and x.endswith("*") and y.startswith(x[:-1])
     want = {(a, b) for a, b in every if not a[1] or not b[1] or a[1] == b[1] or cut(a[1], b[1]) or cut(b[1], a[1])}
-    assert want <= pairs() and len(want) < len(every)
-    assert {e for e in whole if e[2] > -1} <= edges()
+    assert len(want) < len(every)
+    for hot in (400, 2):
+        monkeypatch.setattr(matching, "CELL", hot)
+        assert want <= pairs() and {e for e in whole if e[2] > -1} <= edges(matching.candidates(prof, ("html", "pdf")))
 
 
 def test_propagation_on_a_small_graph(spark):
