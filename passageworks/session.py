@@ -33,10 +33,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, from spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder that all executors share, from spark.checkpoint.dir; a temporary one only where that is unset and all
+    executors are on this machine. Raises ValueError on a cluster without one."""
     conf = spark.sparkContext.getConf()
     found = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="passageworks-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -72,6 +75,15 @@ def drop_materialized(spark: SparkSession) -> int:
     return n
 
 
+def share_file(spark: SparkSession, path: str) -> str:
+    """Send a file of the driver or of a shared file system to all executors; the name under which SparkFiles.get finds it there."""
+    if (key := (spark.sparkContext.applicationId, path)) not in _shared:
+        spark.sparkContext.addFile(path)
+        _shared.add(key)
+    return os.path.basename(path)
+
+
+_shared: set[tuple[str, str]] = set()
 _shipped: set[str] = set()
 
 
