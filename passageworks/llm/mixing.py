@@ -7,11 +7,12 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.ordered import take_until
-from ..session import materialize
+from ..session import materialize, share_file
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Split pattern of the byte-level vocabulary; fixed by the public tokenizer.
@@ -29,12 +30,13 @@ def encoding(path: str):
 
 
 def token_counts(df: DataFrame, text: str, keep: list[str], path: str = VOCABULARY) -> DataFrame:
-    """`keep` columns plus `tokens` BIGINT: tokens of the whole text, 0 for null and empty ones."""
+    """`keep` columns plus `tokens` BIGINT: tokens of the whole text, 0 for null and empty ones. The vocabulary file is sent to the executors."""
+    name = share_file(df.sparkSession, path)
     cols = df.select(*keep, F.col(text).cast("string").alias("_text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cols.schema if f.name != "_text") + ", tokens bigint"
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoding(path)
+        enc = encoding(SparkFiles.get(name))
         for batch in it:
             n = [len(enc.encode_ordinary(t)) if t else 0 for t in batch.column("_text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(n, pa.int64())], names=[*keep, "tokens"])
@@ -53,10 +55,12 @@ class Mixture:
     of unlisted or null sources, null ids and texts without tokens are not used. Rows that repeat a doc_id count once (the
     one with most tokens, then the least source).
 
-    A source that needs f copies of each document on average gets floor(f) whole copies of all, and the fraction from a
-    sample: document i gets a uniform u_i from a hash of the seed and its id, its odds u / (1 - u) are divided by the odds of its
-    inclusion probability, and documents are taken in ascending order until the source's remaining tokens are reached (to
-    half a document). Cuts are found in ranges, so a source of any size is never sorted in one task.
+    A source that needs f copies of each document on average gets floor(f) whole copies of all, and the fraction from a Pareto order
+    sample with probability proportional to size: document i of t_i tokens is to be included with p_i = min(1, c t_i), where c makes the
+    expected tokens those that remain; documents with p_i = 1 are certain. It gets a uniform u_i from a hash of the seed and its
+    id, and documents are taken in ascending order of the odds u / (1 - u) divided by the odds of p_i, until the source's remaining tokens
+    are reached (to half a document), which fixes the sample's size. Cuts are found in ranges and c from counts per size,
+    so a source of any size is never sorted in one task.
     """
 
     def __init__(self, documents: DataFrame, targets: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", total_tokens: int | None = None, seed: int = 7, tokenizer: str = VOCABULARY):
@@ -74,13 +78,30 @@ class Mixture:
         want = F.least(F.col("total") * F.col("target_share"), (F.col("have_tokens") * F.col("max_repeats")).cast("double"))
         whole = F.floor(F.round(F.col("want") / F.nullif("have_tokens", F.lit(0)), 9))
         plan = plan.withColumn("want", want).withColumn("whole", F.coalesce(whole, F.lit(0)).cast("bigint"))
-        self.plan = materialize(plan.withColumn("rest", F.greatest(F.lit(0.0), F.col("want") - F.col("whole") * F.col("have_tokens"))), "mixing-plan")
+        plan = plan.withColumn("rest", F.greatest(F.lit(0.0), F.col("want") - F.col("whole") * F.col("have_tokens")))
+        self.plan = materialize(plan.join(self._rates(plan), "source", "left"), "mixing-plan")
         self.seed = seed
 
+    def _rates(self, plan: DataFrame) -> DataFrame:
+        """source, rate: c of p = min(1, c t). Sizes that would have p over 1 are certain: the largest size v from which on none is
+        satisfies c v <= 1 with c = (rest - tokens of larger documents) / (sum of squares of the others)."""
+        n = self.docs.groupBy("source", "tokens").agg(F.count(F.lit(1)).alias("n")).join(plan.filter("rest > 0").select("source", "rest"), "source")
+        down = Window.partitionBy("source").orderBy(F.col("tokens").desc())  # a row for each different size
+        t = F.col("tokens").cast("double")
+        larger = F.coalesce(F.sum(t * F.col("n")).over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+        squares = F.sum(t * t * F.col("n")).over(Window.partitionBy("source").orderBy("tokens"))
+        n = n.select("source", "tokens", ((F.col("rest") - larger) / squares).alias("c"))
+        return n.filter("c > 0 AND c * tokens <= 1").groupBy("source").agg(F.max_by("c", "tokens").alias("rate"))
+
+    def inclusion(self) -> DataFrame:
+        """doc_id, source, tokens, whole, rest, p: p is the probability of one copy beyond the whole ones."""
+        d = self.docs.join(self.plan.select("source", "whole", "rest", "rate"), "source")
+        return d.withColumn("p", F.coalesce(F.least(F.lit(1.0), F.col("rate") * F.col("tokens")), F.lit(0.0))).drop("rate")
+
     def copies(self) -> DataFrame:
-        d = self.docs.join(self.plan.select("source", "whole", "rest", "have_tokens"), "source")
+        d = self.inclusion()
         u = (F.xxhash64(F.lit(self.seed), F.col("doc_id").cast("string")).bitwiseAND(F.lit((1 << 52) - 1)) + F.lit(0.5)) / F.lit(float(1 << 52))
-        p = F.least(F.lit(1 - 1e-12), F.greatest(F.lit(1e-12), F.col("rest") / F.col("have_tokens")))
+        p = F.least(F.lit(1 - 1e-12), F.greatest(F.lit(1e-12), F.col("p")))
         q = (u / (1 - u)) / (p / (1 - p))
         extra = take_until(d.filter("rest > 0"), "source", q / (1 + q), "tokens", "rest").select("doc_id", "source", "tokens", F.lit(1).cast("bigint").alias("copies"))
         base = d.filter("whole > 0").select("doc_id", "source", "tokens", F.col("whole").alias("copies"))
