@@ -3,8 +3,10 @@
 Values are put into one sorted order; a value is a strict prefix of a longer one exactly if it is a prefix of the next
 different value, so one range-partitioned sort finds all of them and no pair is ever emitted. This is done twice: over whole
 texts (a longer copy elsewhere proves a cut) and over words (a last word that is rare beside a longer word of the corpus that it
-begins was cut in the middle; texts that were collected again count once). Most cut documents have no longer copy, so the method alone cannot find them: the form of
-the last sentence, list entry, code line or table row decides, and the two joins decide where the form leaves it open.
+begins was cut in the middle; texts that were collected again count once). A strict prefix is truncated, whatever it looks like. Most cut
+documents have no longer copy, so the method alone cannot find them: the form of the last sentence, list entry, code line or table row decides,
+and where the form leaves it open, the joins and what the corpus shows decide: texts written without stops, a sentence a line, are judged by
+how often their last word ends a sentence elsewhere.
 """
 
 from __future__ import annotations
@@ -19,9 +21,13 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-COMPLETE, BARE, CUT = "complete", "bare", "cut"
+COMPLETE, BARE, STOPLESS, CUT = "complete", "bare", "stopless", "cut"
 #: A last word was cut if one that it begins is in more than so many times as many texts.
 RARER = 20
+#: In a text without stops, a last word that ends a sentence in fewer than one of so many of the texts that hold it was not the last.
+ENDS = 50
+#: No line that was wrapped is longer.
+WRAPPED = 100
 
 _MARK = re.compile(r"(?:\[\s*(?:\.\.\.|…)\s*\]|\.\.\.|…|\((?:more|continued|cont\.?)\)|\[truncated\]|\bread more)\s*$", re.IGNORECASE)
 _ANNOUNCED = re.compile(r"\b(?:next|following|later|another)\s+(?:chapter|section|part|post|page|release|article|episode)s?\W*$", re.IGNORECASE)
@@ -39,10 +45,25 @@ _SETTING = re.compile(r"^\s{2,}[\w.]+\s*[=:]\s*\S+$")
 _QUOTE = re.compile(r"^[ \t]*(?:>[ \t]?)+")
 _LAST = re.compile(r"(\w+)\W*$")
 _WORDS = re.compile(r"\w+")
+_ENDED = re.compile(r"(\w+)[`\"')\]]*[.!?](?=\s|$)")
+_LOWER = re.compile(r"[`\"(]*[a-z]|`")
+
+
+def without_stops(body: str) -> bool:
+    """Whether the last paragraph has a sentence a line and no stop: every line begins in lower case, none ends in a stop, and a line goes on
+    only where it could not have been wrapped: it is longer than WRAPPED, or the next line's first word had room."""
+    lines = [x.strip() for x in body[body.rfind("\n\n") + 1 :].strip().split("\n")]
+    if any(not _LOWER.match(x) for x in lines) or any(_STOP.search(x) for x in lines[:-1]):
+        return False
+    if re.search(r"[.!?]\s+[A-Z]", lines[-1]):
+        return False
+    width = max(map(len, lines))
+    return all(len(x) > WRAPPED or len(x) + 1 + len(y.split(" ")[0]) <= width for x, y in zip(lines, lines[1:])) and (len(lines) > 1 or len(lines[0]) > WRAPPED)
 
 
 def ending(text: str | None) -> tuple[str, str]:
-    """(state, last word): whether the text's last unit is complete, cut, or bare (a unit that needs no stop and shows no cut)."""
+    """(state, last word): whether the text's last unit is complete, cut, bare (a unit that needs no stop and shows no cut) or stopless (of a
+    text written without stops)."""
     if not text or not text.strip():
         return COMPLETE, ""
     body = text.rstrip()
@@ -63,9 +84,8 @@ def ending(text: str | None) -> tuple[str, str]:
         return (COMPLETE if line.endswith("|") and line.count("|") == cells else CUT), last
     if _SIGN_OFF.match(line) or _SIGN_OFF.match(before) and _NAME.match(line):
         return COMPLETE, last
-    paragraph = body[body.rfind("\n\n") + 1 :]
     if _STOP.search(line) or _ASIDE.search(body):
-        return (CUT if paragraph.count("`") % 2 else COMPLETE), last
+        return COMPLETE, last
     if _ENTITY.search(line):
         return CUT, last
     if _CODE.match(line) or _SETTING.match(lines[-1]) or _URL.match(line):
@@ -86,7 +106,7 @@ def ending(text: str | None) -> tuple[str, str]:
         return BARE, last
     if len(lines) == 1 and len(line.split()) <= 8 and line[:1].isupper() and not text.endswith((" ", ",")) and not re.search(r"[.!?`]", line):
         return BARE, last  # a title
-    return CUT, last
+    return STOPLESS if without_stops(body) and body == text else CUT, last
 
 
 def strict_prefixes(values: DataFrame, value: str) -> DataFrame:
@@ -134,8 +154,8 @@ def cut_words(words: DataFrame, last: DataFrame) -> DataFrame:
 def truncation_evidence(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """doc_id, source, state, has_longer_copy, word_cut, truncated; one row per input row with a non-null id.
 
-    truncated: the last unit is cut; or it is bare and either its last word is a fragment or a longer copy goes on behind it. Null and
-    blank texts are not truncated. Text is compared whole, in lower case with runs of white space as one space. Repeated rows
+    truncated: a longer copy goes on behind it; or the last unit is cut; or it is bare and its last word is a fragment; or it is stopless and its
+    last word is a fragment or hardly ever ends a sentence. Null and blank texts are not truncated. Text is compared whole, in lower case with runs of white space as one space. Repeated rows
     get equal rows; extra columns are not read.
     """
     d = documents.select(F.col(doc_id).alias("_d"), F.col(source).cast("string").alias("_s"), F.col(text).cast("string").alias("_t")).filter("_d IS NOT NULL")
@@ -148,22 +168,29 @@ def truncation_evidence(documents: DataFrame, doc_id: str = "doc_id", text: str
             yield pd.DataFrame({"_d": pdf["_d"], "_s": pdf["_s"], "state": [x[0] for x in e], "_w": [x[1] for x in e], "_n": norm})
 
     def vocabulary(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n: Counter = Counter()
+        n, e = Counter(), Counter()
         for pdf in it:
             for t in pdf["_n"]:
                 n.update(set(_WORDS.findall(t)))
+                e.update(set(_ENDED.findall(t)))
             if len(n) > 200_000:
-                yield pd.DataFrame({"w": list(n), "n": list(n.values())})
+                yield pd.DataFrame({"w": list(n), "n": list(n.values()), "e": [e[w] for w in n]})
                 n.clear()
-        yield pd.DataFrame({"w": list(n), "n": list(n.values())})
+                e.clear()
+        yield pd.DataFrame({"w": list(n), "n": list(n.values()), "e": [e[w] for w in n]})
 
-    judged = materialize(d.mapInPandas(judge, f"_d {d_type}, _s string, state string, _w string, _n string"), "truncation")
-    copies = strict_prefixes(judged, "_n").select(F.col("v").alias("_n")).withColumn("has_longer_copy", F.lit(True))
+    judged = materialize(d.mapInPandas(judge, f"_d {d_type}, _s string, state string, _w string, _n string").withColumn("_h", F.when(F.coalesce("_n", F.lit("")) != "", F.md5("_n"))), "truncation")
+    copies = strict_prefixes(judged, "_n").select(F.md5("v").alias("_h")).withColumn("has_longer_copy", F.lit(True))
     texts = judged.select("_n").filter("_n IS NOT NULL").distinct()
-    words = materialize(texts.mapInPandas(vocabulary, "w string, n bigint").groupBy("w").agg(F.sum("n").alias("n")), "truncation-words")
-    fragments = cut_words(words, judged.select(F.col("_w").alias("w"))).select(F.col("w").alias("_w"), F.lit(True).alias("word_cut"))
-    out = judged.join(copies, "_n", "left").join(fragments, "_w", "left").fillna(False, ["has_longer_copy", "word_cut"])
-    bad = (F.col("state") == CUT) | ((F.col("state") == BARE) & (F.col("has_longer_copy") | F.col("word_cut")))
+    words = materialize(texts.mapInPandas(vocabulary, "w string, n bigint, e bigint").groupBy("w").agg(F.sum("n").alias("n"), F.sum("e").alias("e")), "truncation-words")
+    # Only rows that the form leaves open need their last word's evidence.
+    asked = judged.filter(F.col("state").isin(BARE, STOPLESS)).select(F.col("_w").alias("w")).distinct()
+    fragments = cut_words(words.select("w", "n"), asked).select("w", F.lit(True).alias("word_cut"))
+    told = asked.join(words, "w", "left").join(fragments, "w", "left").select(F.col("w").alias("_w"), F.coalesce("word_cut", F.lit(False)).alias("word_cut"), (F.coalesce("e", F.lit(0)) * ENDS < F.coalesce("n", F.lit(1))).alias("_inner"))
+    open_ = judged.filter(F.col("state").isin(BARE, STOPLESS)).join(told, "_w").drop("_w")
+    out = judged.filter(~F.col("state").isin(BARE, STOPLESS)).drop("_w").withColumns({"word_cut": F.lit(False), "_inner": F.lit(False)}).unionByName(open_)
+    out = out.join(copies, "_h", "left").fillna(False, ["has_longer_copy"])
+    bad = F.col("has_longer_copy") | (F.col("state") == CUT) | (F.col("state").isin(BARE, STOPLESS) & F.col("word_cut")) | ((F.col("state") == STOPLESS) & F.col("_inner"))
     return out.select(F.col("_d").alias("doc_id"), F.col("_s").alias("source"), "state", "has_longer_copy", "word_cut", bad.alias("truncated"))
 
 

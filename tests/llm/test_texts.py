@@ -36,7 +36,7 @@ def test_leaks_equal_brute_force(spark):
     ddf = spark.createDataFrame(docs, "doc_id long, text string").withColumns({"_d": F.lit(1), "_t": F.lit("x"), "query_id": F.lit(5)})
     gdf = spark.createDataFrame(gold, "query_id long, question string, passage string")
     assert {tuple(r) for r in leakage.leaked_items(ddf, gdf).collect()} == want and len(want) > 20
-    assert {tuple(r) for r in leakage.leaked_items(ddf, gdf, block_chars=300).collect()} == want
+    assert {tuple(r) for r in leakage.leaked_items(ddf.repartition(9), gdf).collect()} == want
     assert leakage.leaked_items(ddf, gdf.limit(0)).count() == 0 and leakage.leaked_items(ddf.limit(0), gdf).count() == 0
 
 
@@ -95,6 +95,18 @@ def test_word_cut_of_copies_and_at_scale(spark):
     assert (rates["n_docs"], rates["n_truncated"]) == (len(rows), 5)
 
 
+def test_texts_written_without_stops_and_proven_cuts(spark):
+    """A text with a sentence a line and no stops is complete unless its last word never ends a sentence; a strict prefix is truncated."""
+    line = "whenever the red engine of the second ferry turns for more than a minute the captain of the harbour writes"
+    rows = [(1, f"Hi,\n\n{line} it\n{line} a report"), (2, f"Hi,\n\n{line} it\n{line} a rep"), (3, f"Hi,\n\n{line} it\n{line} the"), (4, "All is well."), (5, "All is well. And more is to come."), (6, "All  is\nWELL.")]
+    rows += [(100 + i, f"The captain {i} of the ferry wrote a report. He did the job.") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("source", F.lit("a"))
+    by = {r["doc_id"]: r for r in truncation.truncation_evidence(df).collect()}
+    assert {d for d, r in by.items() if r["truncated"]} == {2, 3, 4, 6} and by[1]["state"] == "stopless" and by[4]["has_longer_copy"]
+    wrapped = "a long sentence that was wrapped at a width of forty characters or so and\nthen goes on over the next line and is\ncut off in the mid"
+    assert truncation.ending(wrapped)[0] == "cut" and truncation.ending(f"{line}\n{line}. It")[0] == "cut"
+
+
 # Mixing
 
 TARGET = "source string, target_share double, max_repeats int"
@@ -128,6 +140,31 @@ def test_inclusion_follows_the_fraction(spark):
     assert {r["copies"]: r["count"] for r in got} == {1: 3000, 2: 1000}
 
 
+def test_pareto_order_follows_size(spark):
+    """Long documents are drawn more often: inclusion over many seeds is proportional to size, certain ones are always in, and the
+    order differs from that of the random numbers alone."""
+    sizes = [1] * 150 + [4] * 100 + [400]
+    docs = spark.createDataFrame([(i, "word " * n, "s") for i, n in enumerate(sizes)], "doc_id long, text string, source string")
+    t = spark.createDataFrame([("s", 1.0, 3)], TARGET)
+    first = mixing.Mixture(docs, t)
+    have = first.report().first()["have_tokens"]
+    mix = mixing.Mixture(docs, t, total_tokens=int(have * 1.6))
+    p = {r["doc_id"]: r["p"] for r in mix.inclusion().collect()}
+    tokens = {r["doc_id"]: r["tokens"] for r in mix.inclusion().collect()}
+    assert p[250] == 1 and p[200] / p[0] == pytest.approx(tokens[200] / tokens[0])
+    assert sum(p[d] * tokens[d] for d in p) == pytest.approx(have * 0.6, rel=0.01)
+    drawn = dict.fromkeys(p, 0)
+    for seed in range(12):
+        mix.seed = seed
+        got = {r["doc_id"]: r["copies"] for r in mix.copies().collect()}
+        assert set(got.values()) <= {1, 2} and abs(sum(tokens[d] * (c - 1) for d, c in got.items()) - have * 0.6) <= 3
+        for d, c in got.items():
+            drawn[d] += c - 1
+    assert drawn[250] == 12
+    mean = lambda ds: sum(drawn[d] for d in ds) / len(ds) / 12
+    assert mean(range(150)) == pytest.approx(p[0], abs=0.05) and mean(range(150, 250)) == pytest.approx(p[200], abs=0.06)
+
+
 # Matching
 
 
