@@ -38,6 +38,8 @@ WORD = re.compile(r"[a-z0-9_]+")
 ERRORS = 2
 LEAVES = 1_000_000
 BROADCAST_ROWS = 10_000
+#: Copies of one word set that meet as many others in one task.
+COPIES = 1_000
 FP_WORDS = 16
 DIRECT = 64
 FRONTIER = 400_000
@@ -404,11 +406,12 @@ def near_duplicate_pairs(df: DataFrame, id_col: str = "chunk_id", text_col: str
     a = member.select(F.col("_group").alias("_ga"), F.col("_class").alias("_ca"), F.col("_id").alias("x"))
     b = member.select(F.col("_group").alias("_gb"), F.col("_class").alias("_cb"), F.col("_id").alias("y"))
     across = links.join(a, F.col("_group").eqNullSafe(F.col("_ga")) & (F.col("_a") == F.col("_ca"))).join(b, F.col("_group").eqNullSafe(F.col("_gb")) & (F.col("_b") == F.col("_cb"))).select("x", "y").filter("x <> y")
-    copied = member.groupBy("_group", "_class").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select(F.col("_group").alias("_gc"), F.col("_class").alias("_cc"))
-    same = member.join(copied, F.col("_group").eqNullSafe(F.col("_gc")) & (F.col("_class") == F.col("_cc")), "left_semi")
-    x = same.select(F.col("_group").alias("_ga"), F.col("_class").alias("_ca"), F.col("_id").alias("x"))
-    y = same.select(F.col("_group").alias("_gb"), F.col("_class").alias("_cb"), F.col("_id").alias("y"))
-    within = x.join(y, F.col("_ga").eqNullSafe(F.col("_gb")) & (F.col("_ca") == F.col("_cb")) & (F.col("x") < F.col("y"))).select("x", "y")
+    copied = member.groupBy("_group", "_class").agg(F.ceil(F.count(F.lit(1)) / F.lit(COPIES)).alias("k"), F.count(F.lit(1)).alias("c")).filter("c > 1").select(F.col("_group").alias("_gc"), F.col("_class").alias("_cc"), "k")
+    same = member.join(copied, F.col("_group").eqNullSafe(F.col("_gc")) & (F.col("_class") == F.col("_cc"))).withColumn("own", F.pmod(F.xxhash64("_id"), F.col("k")))
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("k") - 1))  # the k parts of a class meet part by part
+    x = same.select(F.col("_group").alias("_ga"), F.col("_class").alias("_ca"), F.col("_id").alias("x"), F.col("own").alias("xa"), every.alias("ya"))
+    y = same.select(F.col("_group").alias("_gb"), F.col("_class").alias("_cb"), F.col("_id").alias("y"), every.alias("xb"), F.col("own").alias("yb"))
+    within = x.join(y, F.col("_ga").eqNullSafe(F.col("_gb")) & (F.col("_ca") == F.col("_cb")) & (F.col("xa") == F.col("xb")) & (F.col("ya") == F.col("yb")) & (F.col("x") < F.col("y"))).select("x", "y")
     pairs = across.unionByName(within).select(F.least("x", "y").alias(f"{id_col}_a"), F.greatest("x", "y").alias(f"{id_col}_b"))
     return pairs.distinct()
 
@@ -437,7 +440,8 @@ def connected_components(edges: DataFrame, a: str = "_a", b: str = "_b", max_rou
     """(node, label): label is the least node of the component. Alternating large-star and small-star rounds.
 
     Edges to hubs shrink each round, every round is one distributed job written to the shared folder, and the loop ends
-    when the number and hash of edges stay; the number of rounds grows with the logarithm of the component size.
+    when the number and hash of edges stay; the number of rounds grows with the logarithm of the component size. Raises
+    RuntimeError if they have not after max_rounds: components that are not whole are never returned.
     """
     e = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u <> v")
     e = materialize(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc")
@@ -454,5 +458,7 @@ def connected_components(edges: DataFrame, a: str = "_a", b: str = "_b", max_rou
         if state == seen:
             break
         seen = state
+    else:
+        raise RuntimeError(f"components have not settled after {max_rounds} rounds")
     tops = e.select(F.col("v").alias("node"), F.col("v").alias("label"))
     return e.select(F.col("u").alias("node"), F.col("v").alias("label")).union(tops).groupBy("node").agg(F.min("label").alias("label"))

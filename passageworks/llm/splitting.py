@@ -66,7 +66,7 @@ class _Item:
         return max(a + 1, int(mid))
 
     def start_of_overlap(self, a: int, b: int, most: int) -> int:
-        """Where the repeated end of text[a:b] begins: at a sentence or stronger boundary that uses at least three quarters of `most`, else at a clause or word."""
+        """Where the repeated end of text[a:b] begins: at the strongest boundary, down to a clause, that uses at least three quarters of `most`, else at a word."""
         lo, hi = a, b
         while lo < hi:
             m = (lo + hi) // 2
@@ -77,7 +77,7 @@ class _Item:
         far = lo
         if far == a:
             return a
-        for level in self.levels[:4]:
+        for level in self.levels[:5]:
             k = bisect.bisect_left(level, far)
             if k < len(level) and level[k] < b and self.size(level[k], b) * 4 >= most * 3:
                 return level[k]

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from passageworks.llm import boilerplate, matching
+from passageworks.llm import boilerplate, matching, rankagg
 
 BLOCKS = "block_id long, slug string, url string, block_ord int, text string"
 PAGES = "slug string, url string, title string, fetched_at string"
@@ -162,3 +162,26 @@ def test_large_heading_stays_near_linear(spark):
     ids = {r["hid"]: r["id"] for r in prof.select("hid", "id").collect()}
     got = {(ids[r["ha"]], ids[r["hb"]]) for r in pairs.collect()}
     assert want <= got and len(got) < 10_000
+
+
+# One ranking
+
+
+@pytest.mark.parametrize("small", [3, 20_000])
+def test_large_groups_rank_alike(spark, monkeypatch, small):
+    """Groups that are ranked in ranges have the ranking and the winner of those that are not; ties, nulls and null keys included."""
+    rng = random.Random(9)
+    rows = []
+    for run, n in ((1, 40), (2, 3), (None, 25)):
+        for c in rankagg.CONFIGS:
+            rows += [(len(rows) + i, run, 7, c, f"i{rng.randint(0, n)}", rng.choice([None, float("nan"), 0.0, -0.0, 1.0, rng.random()]), 5) for i in range(n)]
+            rows.append((10_000 + len(rows), run, 7, c, "best", 1e6 if rankagg.CONFIGS[c] else -1e6, 9))
+    df = spark.createDataFrame(rows, "result_id long, run_id long, query_id long, config string, item_id string, score double, at int").withColumn("scored_at", F.timestamp_seconds("at"))
+    want = None
+    for s in (20_000, small):
+        monkeypatch.setattr(rankagg, "SMALL", s)
+        r = rankagg.median_rank_ranking(df)
+        won = rankagg.majority_winner(r, ["run_id", "query_id"], list(rankagg.CONFIGS), 3)
+        got = sorted(map(str, r.drop("ranks").collect())), sorted(map(str, won.collect()))
+        assert len(got[1]) == 3 and (want is None or want == got)
+        want = got
