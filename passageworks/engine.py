@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.text import preview
+from .functions.text import preview, token_count
 from .operators import chunking, html, metrics, retrieval, store
 from .session import materialize, ship
 from .sources.records import Corpus, read_vector_cache
@@ -16,11 +16,11 @@ QUERY_PREFIX = "Represent this sentence for searching relevant passages: "
 
 
 class Engine:
-    def __init__(self, spark: SparkSession, root: str, corpus: str = "slice", embed: Callable[[Column], Column] | None = None, chunker: chunking.Chunker | None = None):
+    def __init__(self, spark: SparkSession, root: str, corpus: str = "slice", embed: Callable[[Column], Column] | None = None, cost: chunking.Cost = token_count):
         ship(spark)
         self.spark, self.corpus = spark, Corpus(root, corpus)
         self.embed = embed or store.random_hyperplane_embedding(64)
-        self.chunker = chunker
+        self.cost = cost
 
     def extract(self, pages: DataFrame) -> DataFrame:
         docs = html.extract_pages(pages)
@@ -30,7 +30,7 @@ class Engine:
     def chunk(self, source_format: str) -> DataFrame:
         docs = self.spark.read.parquet(self.corpus.stage("documents", source_format)).withColumn("source_format", F.lit(source_format))
         path = self.corpus.stage("chunks", source_format)
-        chunking.chunk_documents(docs, self.chunker).write.mode("overwrite").parquet(path)
+        chunking.chunk_documents(docs, self.cost).write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
     def embed_and_store(self, source_format: str) -> DataFrame:

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def group_ranks(df: DataFrame, keys: Sequence[str], score: str, higher_is_better: Column | bool = True, out: str = "rank", buckets: int = 1024) -> DataFrame:
     """Mid-rank of every row's score within its group: rows strictly better, plus half of those tied, plus a half.
@@ -49,6 +51,22 @@ def group_ranks(df: DataFrame, keys: Sequence[str], score: str, higher_is_better
     return _null_safe(base, ranks, [*keys, "_o"]).drop("_o")
 
 
+def running_count(df: DataFrame, keys: Sequence[str], order: Sequence[str], counted: Column, out: str) -> DataFrame:
+    """df with `out` BIGINT: the rows of the same group up to this one, in ascending `order`, for which `counted` holds.
+
+    The whole order is range-partitioned and written once; counts within a range and group are shifted by the group's counts in the
+    ranges before it. A group of any size is in as many tasks as it fills. `order` should be unique within a group.
+    """
+    keys, order = list(keys), list(order)
+    ranged = df.withColumn("_c", counted.cast("bigint")).repartitionByRange(*keys, *order).withColumn("_p", F.spark_partition_id())
+    ranged = materialize(ranged, "ranges")
+    n = ranged.groupBy(*keys, "_p").agg(F.sum("_c").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row a range
+    within = F.sum("_c").over(Window.partitionBy(*keys, "_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    shifted = _null_safe(ranged.withColumn("_i", within), n.select(*keys, "_p", before.alias("_before")), [*keys, "_p"])
+    return shifted.withColumn(out, F.col("_before") + F.col("_i")).drop("_c", "_p", "_i", "_before")
+
+
 def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Inner join on keys that may be null, keeping left's key columns once."""
     r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])

@@ -173,21 +173,21 @@ def chunk_type_flags(spark, d):
     return s.select("section_id", chunking.chunk_type(kinds, F.col("kind") == "parameter").alias("chunk_type"), F.array_contains(kinds, "table").alias("has_table")).distinct()
 
 
-def _section_documents(spark, d):
+def _sections(spark, d):
     s = table(spark, d, "doc_section")
     fmt = F.when(F.col("doc_id").startswith("pdf:"), "pdf").otherwise("html")
-    return chunking.documents_of_sections(s, fmt, F.lit("18"), F.col("doc_id"))
+    return chunking.sections_of_table(s, fmt, F.lit("18"))
 
 
 @query
 def chunk_documents(spark, d):
-    c = chunking.chunk_documents(_section_documents(spark, d))
+    c = chunking.chunk_sections(_sections(spark, d), ["section_ord", "section_id"])
     return c.select("chunk_id", "doc_id", "ordinal", "chunk_type", "token_count", "content_hash", "section_anchor", "has_code", "has_table")
 
 
 @query
 def chunked_validate(spark, d):
-    return chunking.invalid_chunks(chunking.chunk_documents(_section_documents(spark, d)))
+    return chunking.invalid_chunks(chunking.chunk_sections(_sections(spark, d), ["section_ord", "section_id"]))
 
 
 @query

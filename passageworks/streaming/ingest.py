@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.chunking import Chunker, chunk_documents
+from ..functions.text import token_count
+from ..operators.chunking import Cost, chunk_documents
 from ..operators.store import latest
 from ..sources.records import CHUNK, DOCUMENT
 
@@ -17,14 +18,14 @@ def stream_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(DOCUMENT).json(path)
 
 
-def ingest_chunks(documents: DataFrame, store: str, checkpoint: str, chunker: Chunker | None = None) -> StreamingQuery:
+def ingest_chunks(documents: DataFrame, store: str, checkpoint: str, cost: Cost = token_count) -> StreamingQuery:
     """Chunk each micro-batch and write it under its batch number, replacing that number's files if the batch is replayed.
 
     read_store gives the newest row of each chunk_id, so the store is an upsert without rewriting what is there.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        chunk_documents(batch, chunker).write.mode("overwrite").parquet(f"{store}/batch={number}")
+        chunk_documents(batch, cost).write.mode("overwrite").parquet(f"{store}/batch={number}")
 
     return documents.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from passageworks.operators import chunking, consistency, crawl, html, layout, store
-from passageworks.operators.chunking import Chunker, chunk_documents
+from passageworks.operators.chunking import chunk_documents
 from passageworks.sources import records
 from passageworks.sources.layout_source import LayoutLines
 from passageworks.streaming import ingest
@@ -18,55 +18,63 @@ def section(blocks, title="Connection Settings", kind="section", anchor=None):
     return {"title": title, "level": 2, "path": ["Server Configuration", title], "blocks": [dict(zip(("kind", "text", "lang"), (*b, None))) for b in blocks], "anchor": anchor, "number": None, "kind": kind, "page": None}
 
 
-def chunks(*sections):
-    return [dict(zip([c.split()[0] for c in chunking.CHUNK_SCHEMA.split(", ")], r)) for r in Chunker().chunks(DOC | {"sections": list(sections)})]
+DOCUMENT = f"doc_id string, source_format string, pg_version string, title string, sections array<{records.SECTION}>, source_url string, page_start int"
 
 
-def test_breadcrumb_starts_the_text():
-    assert chunks(section([("prose", SENTENCE * 3)]))[0]["text"].startswith("Server Configuration > Connection Settings\n\n")
+def documents(spark, rows):
+    return spark.createDataFrame([tuple(r[c.strip().split()[0]] for c in "doc_id,source_format,pg_version,title,sections,source_url,page_start".split(",")) for r in rows], DOCUMENT)
 
 
-def test_ceiling():
-    got = chunks(section([("prose", SENTENCE * 400)]))
+def chunks(spark, *sections):
+    return chunk_documents(documents(spark, [DOC | {"sections": list(sections)}])).orderBy("ordinal").collect()
+
+
+def test_breadcrumb_starts_the_text(spark):
+    assert chunks(spark, section([("prose", SENTENCE * 3)]))[0]["text"].startswith("Server Configuration > Connection Settings\n\n")
+
+
+def test_ceiling(spark):
+    got = chunks(spark, section([("prose", SENTENCE * 400)]))
     assert len(got) > 1 and all(c["token_count"] <= 512 for c in got)
 
 
-def test_code_is_fenced_in_each_part():
+def test_code_is_fenced_in_each_part(spark):
     code = "```sql\n" + "\n".join(f"SELECT column_{i} FROM some_table WHERE other = {i};" for i in range(200)) + "\n```"
-    got = chunks(section([("code", code)]))
+    got = chunks(spark, section([("code", code)]))
     assert len(got) > 1 and all(c["token_count"] <= 512 and c["text"].count("```") % 2 == 0 and "```sql" in c["text"] for c in got)
 
 
-def test_table_repeats_its_header():
+def test_table_repeats_its_header(spark):
     rows = "| a | b |\n| --- | --- |\n" + "\n".join(f"| value number {i} | {'x' * 40} |" for i in range(100))
-    got = chunks(section([("table", rows)]))
+    got = chunks(spark, section([("table", rows)]))
     assert len(got) > 1 and all("| a | b |\n| --- | --- |" in c["text"] for c in got) and all(c["has_table"] for c in got)
 
 
-def test_parameters_stay_apart_and_keep_anchors():
-    got = chunks(section([("prose", "Tiny.")], "port (integer)", "parameter", "GUC-PORT"), section([("prose", "Tiny.")], "host (string)", "parameter", "GUC-HOST"))
+def test_parameters_stay_apart_and_keep_anchors(spark):
+    got = chunks(spark, section([("prose", "Tiny.")], "port (integer)", "parameter", "GUC-PORT"), section([("prose", "Tiny.")], "host (string)", "parameter", "GUC-HOST"))
     assert [c["section_anchor"] for c in got] == ["GUC-PORT", "GUC-HOST"] and got[0]["source_url"].endswith("#GUC-PORT")
 
 
-def test_small_section_joins_the_one_before():
-    got = chunks(section([("prose", SENTENCE * 4)]), section([("prose", "See also.")], "More"))
+def test_small_section_joins_the_one_before(spark):
+    got = chunks(spark, section([("prose", SENTENCE * 4)]), section([("prose", "See also.")], "More"))
     assert len(got) == 1 and "More\nSee also." in got[0]["text"]
 
 
-def test_empty_and_null():
-    assert chunks(section([])) == [] and chunks(section([("prose", None), ("prose", "  ")])) == []
+def test_empty_and_null(spark):
+    assert chunks(spark, section([])) == [] and chunks(spark, section([("prose", None), ("prose", "  ")])) == []
 
 
 @pytest.mark.parametrize(("blocks", "want"), [([("prose", "a")], "prose"), ([("code", "a")], "code"), ([("prose", "a"), ("code", "b")], "mixed"), ([("code", "a"), ("synopsis", "b")], "code"), ([("admonition", "a")], "prose")])
 def test_types(spark, blocks, want):
-    assert chunks(section(blocks))[0]["chunk_type"] == want
+    assert chunks(spark, section(blocks))[0]["chunk_type"] == want
     df = spark.createDataFrame([([b[0] for b in blocks],)], "k array<string>")
     assert df.select(chunking.chunk_type(F.col("k"), F.lit(False))).first()[0] == want
 
 
-def test_overlap_repeats_whole_sentences():
+def test_overlap_repeats_whole_sentences(spark):
     text = " ".join(f"Sentence number {i} says something short." for i in range(120))
-    parts = Chunker().split_prose(text, 200)
+    df = spark.createDataFrame([(text,)], "t string")
+    parts = df.select(chunking.prose_parts(F.col("t"), F.lit(200))).first()[0]
     assert len(parts) > 1
     for a, b in zip(parts, parts[1:]):
         first = b.split(". ")[0]
@@ -78,18 +86,57 @@ def test_greedy_pack(spark):
     df = spark.createDataFrame([(units,)], "u array<string>")
     want = ["aaaa bbbbbbbb", "cc", "d" * 24, "e"]
     assert df.select(chunking.greedy_pack(F.col("u"), 3)).first()[0] == want
-    assert Chunker().pack(units, 3, " ") == want
 
 
 def test_stable_under_repartition(spark):
     rows = [DOC | {"doc_id": f"d{i}", "sections": [section([("prose", SENTENCE * (i + 1))])]} for i in range(12)]
-    schema = f"doc_id string, source_format string, pg_version string, title string, sections array<{records.SECTION}>, source_url string, page_start int"
-    df = spark.createDataFrame([tuple(r[c.strip().split()[0]] for c in "doc_id,source_format,pg_version,title,sections,source_url,page_start".split(",")) for r in rows], schema)
+    df = documents(spark, rows)
     a, b = (sorted(map(str, chunk_documents(x).collect())) for x in (df.repartition(1), df.repartition(7)))
     assert a == b and len(a) >= 12
     assert chunking.invalid_chunks(chunk_documents(df)).count() == 0
 
 
+def test_sizes_and_merging_of_many_documents(spark):
+    """Groups are greedy (no piece could take the next block), texts come out whole and in order, and numbers count from 0 in each
+    document, also where its sections are spread over many ranges."""
+    import random
+
+    rng = random.Random(4)
+    rows, said = [], {}
+    for d in range(12):
+        secs, said[f"d{d}"] = [], []
+        for k in range(rng.choice([0, 1, 30])):
+            blocks = []
+            for _ in range(rng.randint(0, 4)):
+                n = rng.choice([1, 3, 30, 250])
+                text = " ".join(f"Word{rng.randint(0, 9999)} stands here{'.' * (rng.random() < 0.4)}" for _ in range(n))
+                blocks.append((rng.choice(["prose", "admonition", "code", "table"]), f"```\n{text}\n```" if rng.random() < 0.1 else text))
+                said[f"d{d}"] += [w for w in text.split() if w.startswith("Word")]
+            secs.append(section(blocks, f"T{k}", "parameter" if rng.random() < 0.2 else "section", f"A{k}"))
+        rows.append(DOC | {"doc_id": f"d{d}", "sections": secs})
+    got = chunk_documents(documents(spark, rows).repartition(5)).orderBy("doc_id", "ordinal").collect()
+    by = {}
+    for c in got:
+        by.setdefault(c["doc_id"], []).append(c)
+    for doc, cs in by.items():
+        assert [c["ordinal"] for c in cs] == list(range(len(cs))) and all(c["token_count"] <= 512 and c["char_count"] == len(c["text"]) for c in cs)
+        words = [w for c in cs for w in c["text"].split() if w.startswith("Word")]
+        at = iter(words)
+        assert all(w in at for w in said[doc])  # in order; overlaps come beside
+        assert len({c["chunk_id"] for c in cs}) == len(cs)
+    small = [c for cs in by.values() for c, after in zip(cs, cs[1:]) if after["token_count"] < 40 and after["chunk_type"] != "parameter" and c["chunk_type"] != "parameter" and [x["section_path"] for x in cs].count(after["section_path"]) == 1 and c["token_count"] < 250]
+    assert not small
+
+
+def test_texts_that_cannot_be_cut(spark):
+    """A word longer than any budget stays whole; a table of a head only and an open fence lose nothing."""
+    word = "x" * 5000
+    head = "| " + " | ".join(f"column{i}" * 9 for i in range(40)) + " |\n| --- |"
+    got = chunks(spark, section([("prose", f"Before it. {word} After it.")]), section([("table", head)]), section([("code", "```sql\n" + "SELECT 1;\n" * 300)]))
+    assert any(word in c["text"] for c in got) and sum(c["text"].count("SELECT 1;") for c in got) == 300
+    assert all(f"column{i}" in "".join(c["text"] for c in got) for i in range(40))
+
+
 def test_quantile_is_an_element(spark):
     df = spark.createDataFrame([("a", 10 * i) for i in range(1, 11)], "g string, t int")
     assert chunking.token_quantile(df, "g", "t", 0.95).first()["p95"] == 90
