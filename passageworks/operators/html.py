@@ -1,16 +1,23 @@
-"""HTML pages to sections, on the standard library's parser, and page-level extractors as built-in expressions."""
+"""HTML pages to sections, on the standard library's parser.
+
+A page becomes a small tree; whatever turns a part of it into text reads the flat stream of its events (an element opens, text, it closes).
+Deliberate choices: comments are no text; a list at any depth inside an item is indented below it; a definition list inside a definition
+is one block of the parameter, told once.
+"""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from html import unescape
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import code_text, fold_text
+
 # Elements and classes of the manual's markup.
 SECTION_CLASSES = frozenset("sect1 sect2 sect3 sect4 sect5 refsect1 refsect2 refsect3 refentry refsynopsisdiv chapter preface appendix part glossdiv bibliodiv article".split())
 NOISE_CLASSES = frozenset("navheader navfooter toc footnotes id_link indexterm".split())
@@ -24,6 +31,7 @@ IMPLIED = {
     "p": ({"p"}, {"div", "td", "th", "li", "dd", "blockquote", "body"}), "li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
 }
+INLINE_TAGS = frozenset("span code em strong a acronym".split())
 BLOCK_TAGS = frozenset("p div ul ol dl table pre blockquote h1 h2 h3 h4 h5 h6".split())
 
 
@@ -106,30 +114,56 @@ def parse(html: str) -> Node:
     return t.root
 
 
-def inline(node: Node, code: bool = False) -> str:
-    """Text with line breaks kept as such and inline code in backticks."""
-    out = []
-    for c in node.children:
-        if isinstance(c, str):
-            out.append(c)
-        elif c.tag == "br":
+OPEN, TEXT, CLOSE = "open", "text", "close"
+
+
+def events(node: Node, skip: Callable[[Node], bool] = lambda n: False) -> Iterator[tuple[str, Node | str]]:
+    """What is inside an element in reading order, without the elements to be skipped."""
+    todo: list[tuple[str, Node | str]] = [(OPEN, c) for c in reversed(node.children)]
+    while todo:
+        kind, x = todo.pop()
+        if isinstance(x, str):
+            yield TEXT, x
+        elif kind == CLOSE:
+            yield CLOSE, x
+        elif not skip(x):
+            yield OPEN, x
+            todo.append((CLOSE, x))
+            todo += [(OPEN, c) for c in reversed(x.children)]
+
+
+def marked(stream: Iterable[tuple[str, Node | str]]) -> str:
+    """Text of a stream with line breaks and with inline code in backticks; code that is empty or holds backticks has none."""
+    out: list[str] = []
+    code, begin = 0, 0
+    for kind, x in stream:
+        if kind == TEXT:
+            out.append(x)
+        elif x.tag == "br" and kind == OPEN:
             out.append("\n")
-        elif c.tag in CODE_TAGS and not code:
-            t = inline(c, True)
-            out.append(f"`{t}`" if t.strip() and "`" not in t else t)
-        else:
-            out.append(inline(c, code))
+        elif x.tag in CODE_TAGS:
+            code += 1 if kind == OPEN else -1
+            if kind == OPEN and code == 1:
+                begin = len(out)
+            elif not code:
+                inner = "".join(out[begin:]).strip()
+                out[begin:] = [f"`{inner}`" if inner and "`" not in inner else inner]
     return "".join(out)
 
 
 def tidy(text: str) -> str:
-    t = re.sub(r"[\s ]+", " ", text)
+    t = " ".join(fold_text(text).split())
     t = re.sub(r" +([,.;:!?)\]])", r"\1", t)
-    return re.sub(r"([(\[]) +", r"\1", t).strip()
+    return re.sub(r"([(\[]) +", r"\1", t)
+
+
+def prose(node: Node, skip: Callable[[Node], bool] = lambda n: False) -> str:
+    return tidy(marked(events(node, skip)))
 
 
-def prose(node: Node) -> str:
-    return tidy(inline(node))
+def plain(node: Node) -> str:
+    """Text without backticks, for titles and terms, so that they are alike in all formats."""
+    return tidy(" ".join(x for kind, x in events(node) if kind == TEXT))
 
 
 def is_section(n: Node) -> bool:
@@ -137,7 +171,7 @@ def is_section(n: Node) -> bool:
 
 
 def is_parameter_list(n: Node) -> bool:
-    return "variablelist" in n.classes
+    return n.tag == "dl" and ("variablelist" in n.classes or n.parent is not None and "variablelist" in n.parent.classes)
 
 
 def table_text(table: Node) -> str:
@@ -152,141 +186,137 @@ def table_text(table: Node) -> str:
     return "\n".join(lines)
 
 
-def list_text(node: Node, depth: int = 0) -> str:
-    lines = []
-    for i, li in enumerate((c for c in node.nodes() if c.tag == "li"), 1):
-        own = Node("li")
-        own.children = [c for c in li.children if not (isinstance(c, Node) and c.tag in ("ul", "ol"))]
-        text = prose(own)
-        if text:
-            lines.append("  " * depth + (f"{i}. " if node.tag == "ol" else "- ") + text)
-        lines += [t for c in li.nodes() if c.tag in ("ul", "ol") and (t := list_text(c, depth + 1))]
-    return "\n".join(lines)
-
-
-def code_text(text: str) -> str:
-    lines = [x.rstrip() for x in text.replace("\r\n", "\n").replace("\r", "\n").split("\n")]
-    while lines and not lines[0]:
-        lines.pop(0)
-    while lines and not lines[-1]:
-        lines.pop()
-    indent = min((len(x) - len(x.lstrip()) for x in lines if x), default=0)
-    return "\n".join(x[indent:] for x in lines)
+def list_text(node: Node) -> str:
+    """One line for each item with text, two spaces deeper for each list around it."""
+    lists, items, inner = [[node.tag, 0]], [], []
+    for kind, x in events(node):
+        if kind == TEXT:
+            if inner:
+                inner[-1][2].append((TEXT, x))
+        elif x.tag in ("ul", "ol"):
+            lists.append([x.tag, 0]) if kind == OPEN else lists.pop()
+        elif x.tag == "li" and kind == OPEN:
+            lists[-1][1] += 1
+            inner.append((len(lists) - 1, f"{lists[-1][1]}." if lists[-1][0] == "ol" else "-", []))
+            items.append(inner[-1])
+        elif x.tag == "li":
+            inner.pop()
+        elif inner:
+            inner[-1][2].append((kind, x) if x.tag in CODE_TAGS or x.tag == "br" else (TEXT, " " if x.tag in BLOCK_TAGS else ""))
+    return "\n".join("  " * depth + f"{mark} {text}" for depth, mark, stream in items if (text := tidy(marked(stream))))
+
+
+def note_text(node: Node, label: str) -> str:
+    """Label: text; the note's own title takes the label's place."""
+    head = node.find(lambda x: x.tag in HEADINGS)
+    text = prose(node, lambda x: x is head)
+    own = prose(head) if head is not None else ""
+    return f"{own if own and own.lower() != label.lower() else label}: {text}" if text else ""
 
 
 def blocks(node: Node) -> list[tuple[str, str, str | None]]:
-    """(kind, text, lang) of an element's direct content; nested sections and parameter lists are left to the walk."""
+    """(kind, text, lang) of an element's direct content; nested sections and parameter lists are left to the walk, other elements dropped."""
     out: list[tuple[str, str, str | None]] = []
-
-    def add(kind: str, text: str, lang: str | None = None) -> None:
-        if text:
-            out.append((kind, text, lang))
-
     for n in node.nodes():
-        if is_section(n) or n.tag in HEADINGS or "titlepage" in n.classes:
-            continue
-        note = next((NOTES[c] for c in n.classes if c in NOTES), None)
-        if note:
-            head = n.find(lambda x: x.tag in HEADINGS)
-            own = Node("div")
-            own.children = [c for c in n.children if c is not head]
-            label = prose(head) if head is not None and prose(head) else note
-            text = prose(own)
-            add("admonition", f"{label}: {text}" if text else "")
-        elif n.tag == "pre":
+        kind = text = ""
+        note = next((label for c, label in NOTES.items() if c in n.classes), None) if n.tag == "div" else None
+        if n.tag == "pre":
             kind = "synopsis" if "synopsis" in n.classes else "code"
-            text = code_text(inline(n, True))
-            lang = next((c.removeprefix("language-") for c in n.classes if c.startswith("language-")), None)
-            add(kind, f"```{lang or ''}\n{text}\n```" if text else "", lang)
+            text = code_text("".join(x for e, x in events(n) if e == TEXT))
+            text = text and f"```{'sql' if kind == 'synopsis' else ''}\n{text}\n```"
         elif n.tag == "table":
-            add("table", table_text(n))
+            kind, text = "table", table_text(n)
         elif n.tag in ("ul", "ol"):
-            add("prose", list_text(n))
-        elif n.tag in ("p", "blockquote") or n.tag not in ("div", "dl", "section", "article", "main", "body", "html", "head", "dd"):
-            add("prose", prose(n))
-        elif not is_parameter_list(n):
+            kind, text = "prose", list_text(n)
+        elif n.tag in ("p", "blockquote") or n.tag in INLINE_TAGS:
+            kind, text = "prose", prose(n)
+        elif note:
+            kind, text = "admonition", note_text(n, note)
+        elif n.tag == "div" and "refnamediv" in n.classes:
+            out += [("prose", t, None) for c in n.nodes() if c.tag == "p" and (t := prose(c))]
+        elif n.tag == "div" and not is_section(n) and not {"titlepage", "variablelist"} & n.classes:
             out += blocks(n)
+        if text:
+            out.append((kind, text, None))
     return out
 
 
 def heading(section: Node) -> str:
-    for test in (lambda n: "titlepage" in n.classes, lambda n: "refnamediv" in n.classes):
-        page = next((c for c in section.nodes() if test(c)), None)
-        if page is not None and prose(page):
-            h = page.find(lambda n: n.tag in HEADINGS)
-            return prose(h if h is not None else page)
-    return next((prose(c) for c in section.nodes() if c.tag in HEADINGS and prose(c)), "")
+    """A title of the title page, of the name of a reference entry, or the first direct heading with text."""
+    places = [c for c in section.nodes() if c.tag == "div" and "titlepage" in c.classes][:1]
+    if "refentry" in section.classes:
+        places += [c for c in section.nodes() if c.tag == "div" and "refnamediv" in c.classes][:1]
+    heads = [h for c in places if (h := c.find(lambda n: n.tag in HEADINGS)) is not None]
+    return next((t for h in [*heads, *(c for c in section.nodes() if c.tag in HEADINGS)] if (t := plain(h))), "")
 
 
-NUMBER = re.compile(r"^(?:(?i:chapter|part|appendix)\s+([0-9A-Za-z.]+?)|((?:[A-Z]\.)?\d+(?:\.\d+)*))\.\s+(.*)$")
+NUMBER = re.compile(r"(?:(?i:chapter|part|appendix)\s+(\d+|(?i:[IVXLC]+|[A-Z]))\.?|((?:[A-Z]\.)?\d+(?:\.\d+)*)\.)\s+(.+)")
 
 
 def split_number(title: str) -> tuple[str | None, str]:
-    m = NUMBER.match(title)
+    m = NUMBER.fullmatch(title)
     return (m[1] or m[2], m[3].strip()) if m else (None, title)
 
 
-def sections(html: str, ancestors: list[str]) -> list[dict]:
-    """Pre-order sections of a page; definition lists become parameter sections one level below."""
+def below(node: Node, test: Callable[[Node], bool]) -> Iterator[Node]:
+    """Nearest descendants that pass, not inside another section or a definition."""
+    for c in node.nodes():
+        if test(c):
+            yield c
+        elif not is_section(c) and c.tag != "dd":
+            yield from below(c, test)
+
+
+def definitions(node: Node) -> str:
+    """A definition list as "- term: text" lines."""
+    told = [(prose(dt), prose(dd) if dd is not None else "") for dt, dd in _defined(node)]
+    return "\n".join(f"- {term}: {text}" if text else f"- {term}" for term, text in told if term)
+
+
+def _defined(lst: Node) -> list[tuple[Node, Node | None]]:
+    """Each direct term with the definition that follows it; terms one after the other have the same."""
+    out, dd = [], None
+    for n in reversed([n for n in lst.nodes() if n.tag in ("dt", "dd")]):
+        if n.tag == "dd":
+            dd = n
+        else:
+            out.append((n, dd))
+    return out[::-1]
+
+
+def content_root(html: str) -> Node | None:
     root = parse(html)
-    top = root.find(lambda n: n.attrs.get("id") == "docContent") or root.find(lambda n: n.tag == "body")
-    if top is None:
-        return []
+    found = root.find(lambda n: n.attrs.get("id") == "docContent")
+    return found if found is not None else root.find(lambda n: n.tag == "body")
+
+
+def sections(html: str, ancestors: list[str]) -> list[dict]:
+    """Pre-order sections of a page; the entries of its definition lists become parameter sections one level below."""
+    top = content_root(html)
     out: list[dict] = []
+    if top is None:
+        return out
 
-    def emit(title: str, level: int, path: list[str], found: list, anchor: str | None, kind: str) -> list[str]:
-        number, bare = split_number(title)
-        path = [*path, bare] if bare else path
-        out.append({"title": bare, "level": level, "path": path, "blocks": [{"kind": k, "text": t, "lang": g} for k, t, g in found], "anchor": anchor, "number": number, "kind": kind, "page": None})
+    def emit(title: str, level: int, path: list[str], found: list, anchor: str | None, kind: str, number: str | None) -> list[str]:
+        path = [*path, title] if title else path
+        out.append({"title": title, "level": level, "path": path, "blocks": [{"kind": k, "text": t, "lang": g} for k, t, g in found], "anchor": anchor or None, "number": number, "kind": kind, "page": None})
         return path
 
-    def below(node: Node, test) -> Iterator[Node]:
-        """Nearest descendants that pass, not inside another section or a definition."""
-        for c in node.nodes():
-            if test(c):
-                yield c
-            elif not is_section(c) and c.tag != "dd":
-                yield from below(c, test)
-
-    def walk(node: Node, level: int, path: list[str]) -> None:
-        anchor = node.attrs.get("id") or None
-        if anchor is None:
-            a = node.find(lambda n: n.tag in HEADINGS and n.attrs.get("id"))
-            anchor = a.attrs["id"] if a is not None else None
-        path = emit(heading(node), level, path, blocks(node), anchor, "section")
-        for lst in below(node, is_parameter_list):
-            parameters(lst, level + 1, path)
-        for child in below(node, is_section):
-            walk(child, level + 1, path)
-
-    def parameters(lst: Node, level: int, path: list[str]) -> None:
-        terms: list[Node] = []
-        for n in (x for x in lst.walk() if x.tag in ("dt", "dd")):
-            if n.parent is not None and next((p for p in _parents(n) if is_parameter_list(p)), None) is not lst:
-                continue
-            if n.tag == "dt":
-                terms.append(n)
-                continue
-            names = [prose(t) for d in terms for t in ([x for x in d.walk() if "term" in x.classes] or [d])]
-            anchor = next((d.attrs["id"] for d in terms if d.attrs.get("id")), None)
-            found = blocks(n) or ([("prose", t, None)] if (t := prose(n)) else [])
-            emit(" / ".join(x for x in names if x), level, path, found, anchor, "parameter")
-            terms = []
-
-    tops = [top] if is_section(top) else list(below(top, is_section))
-    for n in tops:
-        walk(n, len(ancestors) + 1, ancestors)
-    if not tops and blocks(top):
-        emit(heading(top), len(ancestors) + 1, ancestors, blocks(top), None, "section")
+    todo = [(n, len(ancestors) + 1, ancestors) for n in below(top, is_section)][::-1]
+    while todo:
+        node, level, path = todo.pop()
+        number, title = split_number(heading(node))
+        path = emit(title, level, path, blocks(node), node.attrs.get("id"), "section", number)
+        for dt, dd in (x for lst in below(node, is_parameter_list) for x in _defined(lst)):
+            name = tidy(" / ".join(plain(t) for t in dt.walk() if t.tag == "span" and "term" in t.classes)) or plain(dt)
+            if name:
+                inner = [] if dd is None else [t for lst in below(dd, is_parameter_list) if (t := definitions(lst))]
+                own = [] if dd is None else blocks(dd) or ([("prose", t, None)] if not inner and (t := prose(dd)) else [])
+                emit(name, level + 1, path, own + [("prose", t, None) for t in inner], dt.attrs.get("id"), "parameter", None)
+        todo += [(n, level + 1, path) for n in below(node, is_section)][::-1]
     return out
 
 
-def _parents(n: Node) -> Iterator[Node]:
-    while n.parent is not None:
-        n = n.parent
-        yield n
-
-
 SECTIONS = "array<struct<title string, level int, path array<string>, blocks array<struct<kind string, text string, lang string>>, anchor string, number string, kind string, page int>>"
 
 
@@ -299,24 +329,46 @@ def extract_pages(pages: DataFrame, source_format: str = "html", version: str =
             rows = []
             for slug, url, title, ordinal, html, up in pdf[["slug", "url", "title", "ordinal", "html", "ancestors"]].itertuples(index=False):
                 found = sections(html or "", [a for a in (up if up is not None else [])])
-                name = next((s["title"] for s in found if s["title"]), re.sub(r"^[^:]+: Documentation: [^:]+: ", "", title or ""))
+                name = found[0]["title"] if found and found[0]["title"] else split_number(tidy(re.sub(r"^[^:]+: Documentation: [^:]+: ", "", title or "")))[1]
                 rows.append((slug, source_format, version, name, found, url, None, ordinal))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in "doc_id source_format pg_version title sections source_url page_start ordinal".split()])
 
     return pages.select("slug", "url", "title", "ordinal", "html", "ancestors").mapInPandas(run, schema)
 
 
+def title_of(html: str) -> str:
+    """Text of <title>, else of the first h1 or h2 of the content, else empty."""
+    root = parse(html)
+    title = root.find(lambda n: n.tag == "title")
+    text = tidy("".join(x for kind, x in events(title) if kind == TEXT)) if title is not None else ""
+    top = content_root(html)
+    head = (root if top is None else top).find(lambda n: n.tag in ("h1", "h2"))
+    return text or (plain(head) if head is not None else "")
+
+
 def html_title(html: Column) -> Column:
-    """Text of <title>, else of the first h1 or h2, else empty."""
+    """title_of as a Column; null gives an empty string."""
 
     @F.pandas_udf("string")
-    def decode(s: pd.Series) -> pd.Series:
-        return s.map(lambda t: " ".join(unescape(t).split()) if t else "")
+    def read(s: pd.Series) -> pd.Series:
+        return s.map(lambda t: title_of(t) if t else "")
+
+    return read(html)
 
-    plain = lambda c: F.regexp_replace(c, "<[^>]*>", "")
-    title = F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)
-    head = F.regexp_extract(html, r"(?is)<h[12][^>]*>(.*?)</h[12]>", 1)
-    return decode(F.when(F.trim(title) != "", plain(title)).otherwise(plain(head)))
+
+def structure(pages: DataFrame, html: str = "html") -> DataFrame:
+    """kind, name, n: how often elements (kind tag), classes and heading levels occur over all pages; noise is not counted."""
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            n: Counter = Counter()
+            for t in pdf[html]:
+                for x in parse(t or "").walk():
+                    n["tag", x.tag] += 1
+                    n.update(("class", c) for c in x.classes)
+            yield pd.DataFrame([(k, v, c) for (k, v), c in n.items()], columns=["kind", "name", "n"])
+
+    return pages.select(html).mapInPandas(run, "kind string, name string, n bigint").groupBy("kind", "name").agg(F.sum("n").alias("n"))
 
 
 def tag_frequency(pages: DataFrame, html: str = "html") -> DataFrame:

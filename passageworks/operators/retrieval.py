@@ -6,6 +6,7 @@ Every ranking is a relation (config, query_id, rank, item_id, score) with the to
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import lexical_tokens
+from ..session import materialize
 
 QUERY_BLOCK = 2_000
 
@@ -41,8 +43,9 @@ def top_k(scored: DataFrame, k: int, config: str | None = None) -> DataFrame:
 def dense_top_k(queries: DataFrame, vectors: DataFrame, k: int, where: Column | None = None, block: int = QUERY_BLOCK) -> DataFrame:
     """Exact cosine top-k of a stated query set: queries (query_id, vector) in blocks of bounded size against all vectors (item_id, vector).
 
-    Each task scores its batch of vectors against the block with one matrix product and keeps k per query, so what is shuffled is k rows
-    per query and task, not a row per pair. `where` filters items before ranking. Null vectors and vectors of another length are left out.
+    Each task scores its batch of vectors against the block with one matrix product and keeps k per query, so vectors are never shuffled, and
+    behind it k rows per query and task are, not a row per pair. Blocks are run and written one by one: the driver and a task hold one block
+    of `block` queries, however many there are. `where` filters items before ranking. Null vectors and vectors of another length are left out.
     """
     items = vectors if where is None else vectors.filter(where)
     items = items.select("item_id", "vector").filter("item_id IS NOT NULL AND vector IS NOT NULL")
@@ -52,6 +55,8 @@ def dense_top_k(queries: DataFrame, vectors: DataFrame, k: int, where: Column |
     out = None
     for ids, matrix in _query_blocks(queries, block):
         part = items.filter(F.size("vector") == matrix.shape[1]).mapInPandas(_score_block(ids, matrix, k), schema)
+        if len(ids) == block:
+            part = materialize(top_k(part, k).select("query_id", "item_id", "score"), "dense")
         out = part if out is None else out.unionByName(part)
     if out is None:
         out = queries.sparkSession.createDataFrame([], schema)
@@ -80,7 +85,7 @@ def _score_block(ids: list, matrix: np.ndarray, k: int):
             v = np.array(pdf["vector"].tolist(), np.float64)
             n = np.linalg.norm(v, axis=1)
             scores = np.divide(m @ v.T, n, out=np.zeros((len(m), len(n))), where=n > 0)
-            _keep_best(best, scores, pdf["item_id"].to_numpy(object), None, k)
+            _keep_best(best, scores, pdf["item_id"].to_numpy(object), k)
         rows = [(ids[i], a, float(b)) for i, (x, s) in enumerate(best) for a, b in zip(x, s)]
         yield pd.DataFrame(rows, columns=["query_id", "item_id", "score"])
 
@@ -90,48 +95,43 @@ def _score_block(ids: list, matrix: np.ndarray, k: int):
 class InvertedIndex:
     """BM25 over a corpus: `postings` (term, item_id, tf, dl), `terms` (term, df, idf), `stats` (one row: n, avgdl).
 
-    Okapi weights; a term in more than half of the documents would get a negative idf, which is raised to epsilon times the mean idf.
+    Okapi weights; a term in more than half of the documents would get a negative idf, which is raised to epsilon times the mean idf. Postings
+    are written once, when first used, and every search reads them.
     """
 
     def __init__(self, docs: DataFrame, item_id: str, text: str, k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25):
         self.k1, self.b = k1, b
         self.docs = docs.select(F.col(item_id).alias("item_id"), lexical_tokens(F.coalesce(F.col(text), F.lit(""))).alias("t"))
         self.stats = self.docs.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("t")).alias("avgdl"))
-        self.postings = self.docs.select("item_id", F.size("t").alias("dl"), F.explode("t").alias("term")).groupBy("term", "item_id", "dl").agg(F.count(F.lit(1)).alias("tf"))
+        self._epsilon = epsilon
+
+    @cached_property
+    def postings(self) -> DataFrame:
+        # Counted within each document's row, so no shuffle is needed to make them.
+        tf = F.transform(F.array_distinct("t"), lambda w: F.struct(w.alias("term"), F.size(F.filter("t", lambda x: x == w)).alias("tf")))
+        found = self.docs.select("item_id", F.size("t").alias("dl"), F.explode(tf).alias("p")).select("p.term", "item_id", F.col("p.tf").cast("bigint").alias("tf"), "dl")
+        return materialize(found, "postings")
+
+    @cached_property
+    def terms(self) -> DataFrame:
         df = self.docs.select(F.explode(F.array_distinct("t")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
         raw = df.crossJoin(F.broadcast(self.stats)).withColumn("raw", F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))  # stats is one row
         mean = raw.agg(F.avg("raw").alias("mean"))
-        self.terms = raw.crossJoin(F.broadcast(mean)).select("term", "df", F.when(F.col("raw") < 0, F.col("mean") * epsilon).otherwise(F.col("raw")).alias("idf"))
+        return raw.crossJoin(F.broadcast(mean)).select("term", "df", F.when(F.col("raw") < 0, F.col("mean") * self._epsilon).otherwise(F.col("raw")).alias("idf"))
 
-    def search(self, queries: DataFrame, k: int, query_id: str = "query_id", text: str = "question", zero_fill: bool = False, block: int = QUERY_BLOCK) -> DataFrame:
+    def search(self, queries: DataFrame, k: int, query_id: str = "query_id", text: str = "question", zero_fill: bool = False) -> DataFrame:
         """Top k per query by BM25. A word repeated in the question counts each time. zero_fill also ranks documents without any hit.
 
-        Queries are a stated set and come in blocks of bounded size. A block's terms and their weights go to the scan of the documents, each
-        task keeps k per query, and only those are shuffled: neither postings of frequent terms nor a row per pair.
+        Query terms, with their weights, are joined with the postings, and the products summed per query and document. What is ranked is cut to
+        k per query before it is shuffled.
         """
         q = queries.select(F.col(query_id).alias("query_id"), lexical_tokens(F.coalesce(F.col(text), F.lit(""))).alias("t"))
-        q_type, i_type = q.schema["query_id"].dataType.simpleString(), self.docs.schema["item_id"].dataType.simpleString()
-        schema = f"query_id {q_type}, item_id {i_type}, score double"
-        avgdl = self.stats.first()["avgdl"] or 1.0
-        scored, rows = None, []
-
-        def flush() -> None:
-            nonlocal scored
-            vocabulary = sorted({t for _, ts in rows for t in ts})
-            words = q.sparkSession.createDataFrame([(t,) for t in vocabulary], "term string")
-            idf = {r["term"]: r["idf"] for r in self.terms.join(F.broadcast(words), "term").collect()}  # words of one bounded block
-            part = self.docs.mapInPandas(_bm25_block([(i, [t for t in ts if t in idf]) for i, ts in rows], idf, avgdl, self.k1, self.b, k), schema)
-            scored = part if scored is None else scored.unionByName(part)
-            rows.clear()
-
-        for r in q.toLocalIterator():
-            rows.append((r["query_id"], r["t"]))
-            if len(rows) == block:
-                flush()
-        if rows:
-            flush()
-        if scored is None:
-            scored = q.sparkSession.createDataFrame([], schema)
+        asked = q.select("query_id", F.explode("t").alias("term")).groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("times"))
+        asked = asked.join(self.terms, "term").select("query_id", "term", (F.col("times") * F.col("idf")).alias("weight"))
+        norm = F.lit(self.k1) * (1 - self.b + self.b * F.col("dl") / F.coalesce("avgdl", F.lit(1.0)))
+        part = F.col("weight") * F.col("tf") * (self.k1 + 1) / (F.col("tf") + norm)
+        hits = self.postings.join(asked, "term").crossJoin(F.broadcast(self.stats))  # stats is one row
+        scored = hits.groupBy("query_id", "item_id").agg(F.sum(part).alias("score"))
         if zero_fill:
             spare = self.docs.select("item_id").orderBy("item_id")
             pad = q.select("query_id").distinct().crossJoin(F.broadcast(spare.limit(k)))  # k rows
@@ -139,47 +139,16 @@ class InvertedIndex:
         return top_k(scored, k)
 
 
-def _keep_best(best: list, scores: np.ndarray, names: np.ndarray, hits: np.ndarray | None, k: int) -> None:
+def _keep_best(best: list, scores: np.ndarray, names: np.ndarray, k: int) -> None:
     """Merge a batch's scores [query, item] into the best so far; ties at the edge stay, the final order settles them."""
     for i in range(len(best)):
-        s, x = scores[i], names
-        if hits is not None:
-            s, x = s[hits[i]], x[hits[i]]
-        s, x = np.concatenate([best[i][1], s]), np.concatenate([best[i][0], x])
+        s, x = np.concatenate([best[i][1], scores[i]]), np.concatenate([best[i][0], names])
         if len(s) > k:
             keep = s >= np.partition(s, len(s) - k)[len(s) - k] - 1e-9
             s, x = s[keep], x[keep]
         best[i] = (x, s)
 
 
-def _bm25_block(queries: list[tuple], idf: dict[str, float], avgdl: float, k1: float, b: float, k: int):
-    def run(it):
-        at = {t: i for i, t in enumerate(idf)}
-        weight = np.array(list(idf.values()))
-        times = np.zeros((len(at), len(queries)), np.float64)
-        for j, (_, ts) in enumerate(queries):
-            for t in ts:
-                times[at[t], j] += 1
-        asked = times > 0
-        best = [(np.empty(0, object), np.empty(0))] * len(queries)
-        for pdf in it:
-            if not len(pdf):
-                continue
-            scores, hits = np.zeros((len(queries), len(pdf))), np.zeros((len(queries), len(pdf)), bool)
-            for d, tokens in enumerate(pdf["t"]):
-                ids = [at[t] for t in tokens if t in at]
-                if ids:
-                    term, tf = np.unique(ids, return_counts=True)
-                    w = weight[term] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * len(tokens) / avgdl))
-                    scores[:, d] = w @ times[term]
-                    hits[:, d] = asked[term].any(axis=0)
-            _keep_best(best, scores, pdf["item_id"].to_numpy(object), hits, k)
-        rows = [(queries[i][0], x, float(s)) for i, (xs, ss) in enumerate(best) for x, s in zip(xs, ss)]
-        yield pd.DataFrame(rows, columns=["query_id", "item_id", "score"])
-
-    return run
-
-
 def reciprocal_rank_fusion(rankings: DataFrame, k: int = 60, top: int | None = None) -> DataFrame:
     """rankings: src (order of the rankings), query_id, item_id, rank. score = sum of 1 / (k + rank); ties by best place, then item."""
     fused = rankings.groupBy("query_id", "item_id").agg(F.sum(1 / (F.lit(k) + F.col("rank"))).alias("score"))

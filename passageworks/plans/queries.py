@@ -52,7 +52,7 @@ def normalize_prose(spark, d):
 
 @query
 def normalize_prose_wrapped(spark, d):
-    return table(spark, d, "documents").filter("source = 'manual_pdf'").select("doc_id", text.normalize_prose(F.col("text"), from_pdf=True).alias("prose"))
+    return table(spark, d, "documents").select("doc_id", text.normalize_prose(F.col("text"), from_pdf=True).alias("prose"))
 
 
 @query
@@ -226,7 +226,8 @@ def html_sections(spark, d):
     p = s.select("doc_id", "section_ord", "section_id", one.alias("h")).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("section_ord", "section_id", "h"))).alias("x"))
     body = F.array_join(F.transform("x", lambda v: v["h"]), "")
     pages = p.select(F.col("doc_id").alias("slug"), F.lit(None).cast("string").alias("url"), F.col("doc_id").alias("title"), F.lit(0).alias("ordinal"), F.concat(F.lit('<html><body><div id="docContent">'), body, F.lit("</div></body></html>")).alias("html"), F.array().cast("array<string>").alias("ancestors"))
-    return html.extract_pages(pages).select("doc_id", F.posexplode("sections").alias("ord", "s")).select("doc_id", "ord", "s.title", "s.number", "s.anchor", "s.level", F.size("s.blocks").alias("n_blocks"))
+    found = html.extract_pages(pages).select("doc_id", F.posexplode("sections").alias("ord", "s"))
+    return found.select("doc_id", F.col("ord").cast("bigint").alias("ord"), "s.title", "s.number", "s.anchor", F.col("s.level").cast("bigint").alias("level"), F.size("s.blocks").cast("bigint").alias("n_blocks"))
 
 
 @query

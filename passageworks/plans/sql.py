@@ -54,8 +54,41 @@ def _folded(t: str) -> str:
 
 _LINES = r"replace(replace(replace({t}, chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10), ' ')"
 
-_KEY = r"""regexp_replace(lower(CASE WHEN regexp_matches(trim({t}), '^(?i:chapter|part|appendix)\s+([0-9A-Za-z.]+?)\.\s+(.*)$') THEN trim(regexp_extract(trim({t}), '^(?i:chapter|part|appendix)\s+([0-9A-Za-z.]+?)\.\s+(.*)$', 2))
-WHEN regexp_matches(trim({t}), '^((?:[A-Z]\.)?[0-9]+(?:\.[0-9]+)*)\.\s+(.*)$') THEN trim(regexp_extract(trim({t}), '^((?:[A-Z]\.)?[0-9]+(?:\.[0-9]+)*)\.\s+(.*)$', 2)) ELSE trim({t}) END), '[^a-z0-9]+', '', 'g')"""
+
+
+def _rejoined(t: str) -> str:
+    """Words over a line-break hyphen; it stays between a small letter and a capital or digit."""
+    kept = f"regexp_replace({t}, '(\\p{{Ll}})-\\n([\\p{{Lu}}\\p{{Nd}}])', '\\1-\\2', 'g')"
+    return f"regexp_replace({kept}, '([\\p{{L}}\\p{{N}}_])-\\n([\\p{{L}}\\p{{N}}_])', '\\1\\2', 'g')"
+
+
+def _title(t: str) -> str:
+    """A title folded and tidied."""
+    return _PROSE.format(t=_LINES.format(t=_folded(t)))
+
+
+def _label(t: str) -> str:
+    return f"(lower(split_part({t}, ' ', 1)) IN ('chapter', 'part', 'appendix') AND regexp_full_match(regexp_replace(split_part({t}, ' ', 2), '\\.$', ''), '[0-9]+|[IVXLCivxlc]+|[A-Za-z]') AND split_part({t}, ' ', 3) <> '')"
+
+
+def _own_number(t: str) -> str:
+    return f"(ends_with(split_part({t}, ' ', 1), '.') AND regexp_full_match(split_part({t}, ' ', 1), '([A-Z][.])?[0-9]+([.][0-9]+)*[.]') AND split_part({t}, ' ', 2) <> '')"
+
+
+def _number(t: str) -> str:
+    """Of a tidied title: what follows "Chapter", with or without a dot, or the dotted first word."""
+    return f"CASE WHEN {_label(t)} THEN regexp_replace(split_part({t}, ' ', 2), '\\.$', '') WHEN {_own_number(t)} THEN rtrim(split_part({t}, ' ', 1), '.') END"
+
+
+def _bare(t: str) -> str:
+    after = lambda n: f"array_to_string(string_split({t}, ' ')[{n}:], ' ')"
+    return f"CASE WHEN {_label(t)} THEN {after(3)} WHEN {_own_number(t)} THEN {after(2)} ELSE {t} END"
+
+
+def _key(t: str) -> str:
+    """Of any title: letters and digits of its bare form; the tidied title is bound once."""
+    return f"list_transform([{_title(t)}], lambda tt: regexp_replace(lower({_bare('tt')}), '[^a-z0-9]+', '', 'g'))[1]"
+
 
 _SENTENCES = r"""list_filter(string_split(regexp_replace(text, '([.!?])\s+([A-Z(\[`"])', '\1' || chr(30) || '\2', 'g'), chr(30)), lambda s: s <> '')"""
 
@@ -73,7 +106,7 @@ _GOLD = """ex AS (SELECT query_id, topic, question,
   list_sort(list_distinct(list_transform(list_filter(list_concat([expect_path], coalesce(expect_paths, [])), lambda x: x IS NOT NULL), lambda x: lower(x)))) AS paths FROM gold_query)"""
 
 _SIDES = f"""c AS (SELECT chunk_id, any_value(source_format) AS source_format, any_value(doc_id) AS doc_id, any_value(ordinal) AS ordinal, any_value(text) AS text, max(section_path) AS path, max(section_anchor) AS anchor FROM chunk WHERE text IS NOT NULL GROUP BY chunk_id),
-k AS (SELECT *, list_filter(list_transform(coalesce(path, []), lambda p: {_KEY.format(t='p')}), lambda x: x <> '') AS ks FROM c),
+k AS (SELECT *, list_filter(list_transform(coalesce(path, []), lambda p: {_key('p')}), lambda x: x <> '') AS ks FROM c),
 ck AS (SELECT *, CASE WHEN coalesce(trim(anchor), '') <> '' THEN ['anchor:' || upper(trim(anchor))] ELSE list_concat(CASE WHEN len(ks) >= 2 THEN ['path2:' || ks[-2] || '|' || ks[-1]] ELSE [] END, CASE WHEN len(ks) BETWEEN 1 AND 2 THEN ['path1:' || ks[-1]] ELSE [] END) END AS keys FROM k),
 g AS (SELECT source_format, keys[1] AS key, count(*) AS n, arg_min(chunk_id, struct_pack(a := doc_id, b := ordinal, c := chunk_id)) AS item, arg_min(keys, struct_pack(a := doc_id, b := ordinal, c := chunk_id)) AS keys,
   string_agg(text, chr(10) || chr(10) ORDER BY doc_id, ordinal, chunk_id) AS text, min(struct_pack(a := doc_id, b := ordinal, c := chunk_id)) AS first FROM ck WHERE len(keys) > 0 GROUP BY ALL),
@@ -91,11 +124,16 @@ SQL: dict[str, str] = {
     "stable_chunk_id": "SELECT DISTINCT chunk_id, substr(sha1(concat_ws('|', source_format, doc_id, coalesce(section_anchor, ''), ordinal::VARCHAR)), 1, 16) AS derived_id FROM chunk",
     "hash_audit": "SELECT source_format, CASE WHEN content_hash IS NULL THEN 'missing' WHEN content_hash = substr(sha256(text), 1, 16) THEN 'current' ELSE 'stale' END AS state, count(*) AS n FROM chunk WHERE text IS NOT NULL GROUP BY ALL",
     "normalize_prose": f"SELECT doc_id, {_PROSE.format(t=_LINES.format(t=_folded('coalesce(text, chr(0))')))} AS prose FROM documents".replace("coalesce(text, chr(0))", "coalesce(text, '')"),
-    "section_numbers": r"""SELECT DISTINCT title,
-CASE WHEN regexp_matches(trim(title), '^(?i:chapter|part|appendix)\s+([0-9A-Za-z.]+?)\.\s+(.*)$') THEN regexp_extract(trim(title), '^(?i:chapter|part|appendix)\s+([0-9A-Za-z.]+?)\.\s+(.*)$', 1) WHEN regexp_matches(trim(title), '^((?:[A-Z]\.)?[0-9]+(?:\.[0-9]+)*)\.\s+(.*)$') THEN regexp_extract(trim(title), '^((?:[A-Z]\.)?[0-9]+(?:\.[0-9]+)*)\.\s+(.*)$', 1) END AS number,
-CASE WHEN regexp_matches(trim(title), '^(?i:chapter|part|appendix)\s+([0-9A-Za-z.]+?)\.\s+(.*)$') THEN trim(regexp_extract(trim(title), '^(?i:chapter|part|appendix)\s+([0-9A-Za-z.]+?)\.\s+(.*)$', 2)) WHEN regexp_matches(trim(title), '^((?:[A-Z]\.)?[0-9]+(?:\.[0-9]+)*)\.\s+(.*)$') THEN trim(regexp_extract(trim(title), '^((?:[A-Z]\.)?[0-9]+(?:\.[0-9]+)*)\.\s+(.*)$', 2)) ELSE trim(title) END AS bare
-FROM (SELECT unnest(section_path) AS title FROM chunk) WHERE title IS NOT NULL""",
-    "title_keys": f"SELECT {_KEY.format(t='title')} AS key, count(DISTINCT title) AS spellings, count(*) AS n FROM (SELECT unnest(section_path) AS title FROM chunk) WHERE title IS NOT NULL GROUP BY 1",
+    "normalize_prose_wrapped": f"SELECT doc_id, {_PROSE.format(t=_LINES.format(t=_rejoined(_folded('text'))))} AS prose FROM documents".replace("translate(text,", "translate(coalesce(text, ''),"),
+    "normalize_code": f"""WITH b AS (SELECT section_id, unnest(range(len(blocks))) AS ord, unnest(blocks) AS b FROM doc_section), c AS (SELECT section_id, ord, string_split({_folded('b.text')}, chr(10)) AS l FROM b WHERE b.kind = 'code' AND b.text IS NOT NULL),
+t AS (SELECT section_id, ord, list_transform(l, lambda x: rtrim(x, ' ' || chr(9) || chr(13))) AS l FROM c), u AS (SELECT section_id, ord, l, list_filter(range(1, len(l) + 1), lambda i: l[i] <> '') AS used FROM t),
+m AS (SELECT *, coalesce(list_min(list_transform(list_filter(l, lambda x: x <> ''), lambda x: length(x) - length(ltrim(x, ' ' || chr(9))))), 0) AS margin FROM u)
+SELECT DISTINCT section_id, ord::INT AS ord, coalesce(array_to_string(list_transform(l[used[1]:used[-1]], lambda x: substring(x, margin + 1)), chr(10)), '') AS code FROM m""",
+    "html_sections": f"""WITH s AS (SELECT * FROM doc_section QUALIFY row_number() OVER (PARTITION BY section_id) = 1), k AS (SELECT doc_id, section_ord, section_id, anchor, blocks, {_title("coalesce(title, '')")} AS tt FROM s WHERE blocks IS NOT NULL)
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY section_ord, section_id) - 1 AS ord, {_bare('tt')} AS title, {_number('tt')} AS number, nullif(anchor, '') AS anchor, 1::BIGINT AS level,
+  len(list_filter(blocks, lambda b: trim(coalesce(b.text, ''), ' ' || chr(9) || chr(10) || chr(13)) <> ''))::BIGINT AS n_blocks FROM k""",
+    "section_numbers": f"SELECT title, {_number('tt')} AS number, {_bare('tt')} AS bare FROM (SELECT DISTINCT title, {_title('title')} AS tt FROM (SELECT unnest(section_path) AS title FROM chunk) WHERE title IS NOT NULL)",
+    "title_keys": f"SELECT {_key('title')} AS key, count(DISTINCT title) AS spellings, count(*) AS n FROM (SELECT unnest(section_path) AS title FROM chunk) WHERE title IS NOT NULL GROUP BY 1",
     "token_key_set": "SELECT doc_id, array_to_string(list_sort(list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+'))), ' ') AS words FROM documents WHERE text IS NOT NULL",
     "token_count_estimate": "SELECT doc_id, ceil(length(coalesce(text, '')) / 4)::BIGINT AS tokens FROM documents",
     "comparison_text": f"SELECT DISTINCT chunk_id, {_COMPARABLE.format(t='text')} AS plain FROM chunk WHERE text IS NOT NULL",

@@ -164,6 +164,29 @@ def test_html_sections():
     assert html.sections("", []) == [] and html.sections("<p>no body", []) == []
 
 
+MANUAL = """<html><body><div id="docContent"><h1>Not a section</h1><div class="refentry" id="SQL-X"><div class="refnamediv"><h2>ALTER <code>X</code></h2><p>ALTER X \u2014 change \u201cx\u201d</p></div>
+<div class="refsynopsisdiv"><h2>Synopsis</h2><pre class="synopsis">ALTER X  [ y ]
+</pre></div><div class="refsect1" id="P"><h2>3.1. Para\u00admeters of <code class="c">a_b</code> (<code>int</code>)</h2><p>See de\ufb01nitions.<br>Next</p><hr><em>Loose</em>
+<div class="itemizedlist"><ul><li><p>one</p><div class="orderedlist"><ol><li>in <code>c</code>ner</li></ol></div></li><li></li></ul></div><div class="tip"><h3 class="title">Tip</h3><p>Try.</p></div>
+<div class="variablelist"><dl class="variablelist"><dt id="GUC-A"><span class="term"><code>a_b</code> (<code>int</code>)</span><span class="term">a_c</span></dt><dd><p>Means a.</p>
+<div class="variablelist"><dl class="variablelist"><dt><span class="term">on</span></dt><dd><p>Always.</p></dd><dt>off</dt></dl></div></dd><dt id="GUC-B">b</dt><dt id="GUC-C">c</dt><dd>Bare text.</dd><dt></dt><dd>none</dd></dl></div>
+<div class="sect2" id="S"><div class="titlepage"><h3></h3></div><h3>Sub</h3><p>Under.</div></div></div></div></body></html>"""
+
+
+def test_html_of_a_reference_page():
+    """The manual's own markup: lists in lists, definition lists in a div of the same class, folded text, plain titles."""
+    got = html.sections(MANUAL, [])
+    assert [(s["title"], s["level"], s["kind"], s["anchor"]) for s in got] == [
+        ("ALTER X", 1, "section", "SQL-X"), ("Synopsis", 2, "section", None), ("Parameters of a_b (int)", 2, "section", "P"),
+        ("a_b (int) / a_c", 3, "parameter", "GUC-A"), ("b", 3, "parameter", "GUC-B"), ("c", 3, "parameter", "GUC-C"), ("Sub", 3, "section", "S"),
+    ]
+    texts = [[(b["kind"], b["text"]) for b in s["blocks"]] for s in got]
+    assert texts[0] == [("prose", 'ALTER X \u2014 change "x"')] and texts[1] == [("synopsis", "```sql\nALTER X  [ y ]\n```")]
+    assert texts[2] == [("prose", "See definitions. Next"), ("prose", "Loose"), ("prose", "- one\n  1. in `c`ner"), ("admonition", "Tip: Try.")] and got[2]["number"] == "3.1"
+    assert texts[3] == [("prose", "Means a."), ("prose", "- on: Always.\n- off")] and texts[4] == texts[5] == [("prose", "Bare text.")] and texts[6] == [("prose", "Under.")]
+    assert got[6]["path"] == ["ALTER X", "Parameters of a_b (int)", "Sub"]
+
+
 def test_html_title(spark):
     df = spark.createDataFrame([("<title> A &amp; B </title>",), ("<h1>H</h1>",), ("x",)], "h string")
     assert [r[0] for r in df.select(html.html_title(F.col("h"))).collect()] == ["A & B", "H", ""]
