@@ -7,8 +7,7 @@ import argparse
 from pyspark.sql import functions as F
 
 from .engine import Engine
-from .operators import consistency
-from .session import get_session, materialize
+from .session import get_session
 from .sources.records import CORPORA, load_goldset, read_pages
 
 
@@ -46,8 +45,7 @@ def main(args: list[str] | None = None) -> int:
     elif a.command == "evaluate":
         e.evaluate(load_goldset(spark, a.goldset), a.source).show(truncate=False)
     elif a.command == "compare":
-        side = lambda f: consistency.grouped(spark.read.parquet(e.corpus.stage("chunks", f)).select("chunk_id", "doc_id", "ordinal", "text", F.col("section_path").alias("path"), F.col("section_anchor").alias("anchor")), "chunk_id", ["doc_id", "ordinal"])
-        consistency.compare(consistency.fallback_join(materialize(side("html")), materialize(side("pdf")))).show()
+        e.compare().show(truncate=False)
     else:
         e.status().show()
     return 0

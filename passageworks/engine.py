@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.text import preview, token_count
-from .operators import chunking, html, metrics, retrieval, store
+from .operators import chunking, consistency, html, metrics, retrieval, store
 from .session import materialize, ship
-from .sources.records import Corpus, read_vector_cache
+from .sources.records import Corpus, read_parquet_or_empty, read_vector_cache
 
 QUERY_PREFIX = "Represent this sentence for searching relevant passages: "
 
@@ -37,14 +37,26 @@ class Engine:
         """Vectors of the chunks; only texts that no earlier run embedded are embedded."""
         chunks = self.spark.read.parquet(self.corpus.stage("chunks", source_format))
         out, _ = store.embed_with_cache(chunks, read_vector_cache(self.spark, self.corpus.vectors), self.embed)
-        path = self.corpus.stage("vectors", source_format)
-        out.select("chunk_id", "content_hash", "vector").write.mode("overwrite").parquet(path)
-        stored = self.spark.read.parquet(path)
+        out = materialize(out.select("chunk_id", "content_hash", "vector"), "embedded")
+        stored = self.upsert(out, source_format)
         known = read_vector_cache(self.spark, self.corpus.vectors).select("content_hash")
         fresh = stored.select("content_hash", "vector").join(known, "content_hash", "left_anti").dropDuplicates(["content_hash"])
         store.write_new_vectors(materialize(fresh, "vectors"), self.corpus.vectors)
         return stored
 
+    def upsert(self, vectors: DataFrame, source_format: str) -> DataFrame:
+        """Add vectors (chunk_id, content_hash, vector) to the store, replacing those of the same chunk_id; rows of other chunks stay."""
+        path = self.corpus.stage("vectors", source_format)
+        have = read_parquet_or_empty(self.spark, path, "chunk_id string, content_hash string, vector array<float>")
+        kept = have.join(vectors.select("chunk_id"), "chunk_id", "left_anti")
+        merged = materialize(kept.select("chunk_id", "content_hash", "vector").unionByName(vectors.dropDuplicates(["chunk_id"])), "store")
+        merged.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
+    def reset(self, source_format: str) -> None:
+        """Empty the vector store of one format."""
+        self.spark.createDataFrame([], "chunk_id string, content_hash string, vector array<float>").write.mode("overwrite").parquet(self.corpus.stage("vectors", source_format))
+
     def ask(self, questions: DataFrame, source_format: str, k: int = 5, where: Column | None = None, full: bool = False) -> DataFrame:
         """Top k passages of questions (query_id, question); fails on an empty store. `where` filters chunks before ranking."""
         chunks = self.spark.read.parquet(self.corpus.stage("chunks", source_format))
@@ -65,5 +77,19 @@ class Engine:
         hits = r.select("query_id", "item_id").join(c, "item_id").join(e, "query_id").filter(metrics.is_relevant(F.col("anchor"), F.col("crumb"), F.col("anchors"), F.col("paths"))).select("query_id", "item_id")
         return metrics.measures(metrics.first_ranks(r.select("config", "query_id", "item_id", "rank"), hits, e.select("query_id", "topic")))
 
+    def compare(self) -> DataFrame:
+        """Coverage and similarities of the two builds in one row; vectors count where both are stored."""
+        rows = {}
+        for f in ("html", "pdf"):
+            c = self.spark.read.parquet(self.corpus.stage("chunks", f)).select("chunk_id", "doc_id", "ordinal", "text", "content_hash", F.col("section_path").alias("path"), F.col("section_anchor").alias("anchor"))
+            rows[f] = consistency.keyed(c)
+        left, right = (materialize(consistency.grouped(rows[f], "chunk_id", ["doc_id", "ordinal"]), "groups") for f in ("html", "pdf"))
+        joined = materialize(consistency.fallback_join(left, right), "joined")
+        pairs = consistency.compare(consistency.with_texts(joined, rows["html"], rows["pdf"], "chunk_id", ["doc_id", "ordinal"]))
+        ids = rows["html"].unionByName(rows["pdf"]).select(F.col("chunk_id").alias("item"), "content_hash")
+        cos = consistency.vector_cosines(joined, ids.join(read_vector_cache(self.spark, self.corpus.vectors), "content_hash"))
+        told = pairs.agg(F.median("jaccard").alias("median_jaccard"), F.median("char_ratio").alias("median_ratio"))
+        return consistency.coverage(joined, left, right).crossJoin(told).crossJoin(cos.agg(F.median("cosine").alias("median_cosine"), F.count(F.lit(1)).alias("cosine_pairs")))  # one row each
+
     def status(self) -> DataFrame:
         return self.corpus.status(self.spark)

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from html import unescape
+from urllib.parse import urldefrag, urljoin
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.identity import url_slug
 from ..session import materialize
@@ -11,7 +16,12 @@ from .goldset import number_rows
 from .store import latest
 
 HOPS = 8
-NEXT_LINK = r"(?is)<a\b[^>]*\baccesskey=[\"']n[\"'][^>]*\bhref=[\"']([^\"']+)[\"']|<a\b[^>]*\bhref=[\"']([^\"']+)[\"'][^>]*\baccesskey=[\"']n[\"']"
+_ANCHOR = r"(?is)<a\b[^>]*\baccesskey=[\"']{key}[\"'][^>]*>"
+
+
+@F.pandas_udf(StringType())
+def _resolved(base: pd.Series, href: pd.Series) -> pd.Series:
+    return pd.Series([urldefrag(urljoin(b or "", unescape(h)))[0] if h else None for b, h in zip(base, href)], dtype=object)
 
 
 def latest_fetch(manifest: DataFrame) -> DataFrame:
@@ -41,11 +51,21 @@ def ancestor_titles(manifest: DataFrame, hops: int = HOPS) -> DataFrame:
     return done.unionByName(walk.select("slug", "ancestors"))
 
 
+def nav_links(pages: DataFrame, base: str, key: str = "n", out: str = "next_slug") -> DataFrame:
+    """slug, out: the page that the link with this access key (n next, p previous, u up) leads to, if it stays below the base URL; else null.
+
+    pages: slug, html and, where links are relative to the page, url; without it they are relative to the base.
+    """
+    tag = F.regexp_extract("html", _ANCHOR.format(key=key), 0)
+    href = F.nullif(F.regexp_extract(tag, r"(?is)\bhref=[\"']([^\"']+)[\"']", 1), F.lit(""))
+    own = F.coalesce("url", F.lit(base.rstrip("/") + "/")) if "url" in pages.columns else F.lit(base.rstrip("/") + "/")
+    linked = pages.select("slug", _resolved(own, href).alias("_to"))
+    return linked.select("slug", F.when(F.col("_to").startswith(base), url_slug(F.col("_to"))).alias(out))
+
+
 def next_links(pages: DataFrame, base: str) -> DataFrame:
     """slug, next_slug: the link with access key n, if it stays below the base URL."""
-    href = F.coalesce(F.nullif(F.regexp_extract("html", NEXT_LINK, 1), F.lit("")), F.nullif(F.regexp_extract("html", NEXT_LINK, 2), F.lit("")))
-    absolute = F.when(href.rlike(r"^[a-z]+://"), href).otherwise(F.concat(F.lit(base.rstrip("/") + "/"), href))
-    return pages.select("slug", F.when(absolute.startswith(base), url_slug(absolute)).alias("next_slug"))
+    return nav_links(pages, base)
 
 
 def crawl_order(links: DataFrame, seeds: list[str], limit: int | None = None) -> DataFrame:

@@ -64,6 +64,22 @@ def rank_buckets(ranks: DataFrame) -> DataFrame:
     return ranks.groupBy("config", bucket(F.col("first_rank")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def pool_recall(ranks: DataFrame) -> DataFrame:
+    """config, pool_recall: the share of questions with a relevant item anywhere among the candidates. Reordering candidates cannot change it."""
+    return ranks.groupBy("config").agg(F.avg(F.col("first_rank").isNotNull().cast("double")).alias("pool_recall"))
+
+
+def misses(ranks: DataFrame, cut: int = 5) -> DataFrame:
+    """The questions of each configuration without a relevant item in the first `cut` places."""
+    return ranks.filter(F.col("first_rank").isNull() | (F.col("first_rank") > cut))
+
+
+def labels(gold: DataFrame) -> DataFrame:
+    """query_id, label: what a question expects, for reports: its anchors, else its paths."""
+    e = expectations(gold)
+    return e.select("query_id", F.array_join(F.when(F.size("anchors") > 0, F.col("anchors")).otherwise(F.col("paths")), " | ").alias("label"))
+
+
 def side_by_side(measured: DataFrame, configs: list[str], value: str = "recall_5") -> DataFrame:
     """One row with a column per configuration."""
     return measured.groupBy().pivot("config", configs).agg(F.first(value))

@@ -5,7 +5,7 @@ Every ranking is a relation (config, query_id, rank, item_id, score) with the to
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import cached_property
 
 import numpy as np
@@ -180,6 +180,31 @@ def reorder(ranking: DataFrame, scores: DataFrame, depth: int) -> DataFrame:
     return joined.select("query_id", "item_id", F.when(act, F.col("new_score")).otherwise(F.col("score")).alias("score"), F.row_number().over(Window.partitionBy("query_id").orderBy(*order)).alias("rank"))
 
 
+DEPTH, FUSED_FROM, ALPHAS, RERANK_DEPTHS = 50, 100, (0.3, 0.5, 0.7), (20, 50)
+
+
+def experiment_runs(dense: DataFrame, sparse: DataFrame, questions: DataFrame, texts: DataFrame, models: tuple[str, ...] = ("overlap",)) -> DataFrame:
+    """config, query_id, rank, item_id, score of every configuration: dense, bm25, hybrid_rrf, hybrid_<alpha>, and dense and hybrid_rrf reranked.
+
+    dense, sparse: rankings to FUSED_FROM places. Fusion draws from all of them, and every ranking is judged over DEPTH, so configurations compare like
+    for like. A base is scored by a model once, to DEPTH; shallower rerankings reuse the scores and hold the same candidates.
+    """
+    cols = ["query_id", "item_id", "rank", "score"]
+    cut = lambda r: r.filter(F.col("rank") <= DEPTH).select(*cols)
+    hybrid = materialize(reciprocal_rank_fusion(dense.select(*cols).unionByName(sparse.select(*cols)), top=DEPTH), "hybrid")
+    runs = {"dense": cut(dense), "bm25": cut(sparse), "hybrid_rrf": cut(hybrid)}
+    runs |= {f"hybrid_{a}": weighted_fusion(dense, sparse, a, DEPTH).select(*cols) for a in ALPHAS}
+    for name, pool in (("dense", cut(dense)), ("hybrid_rrf", cut(hybrid))):
+        for model in models:
+            scores = materialize(model_scores(pool, questions, texts, model), "scores")
+            runs |= {f"{name}_{model}_{n}": reorder(pool, scores, n).select(*cols) for n in RERANK_DEPTHS}
+    out = None
+    for config, r in runs.items():
+        r = r.withColumn("config", F.lit(config))
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
 RERANKERS: dict[str, Callable[[Column, Column], Column]] = {}
 
 
@@ -188,12 +213,31 @@ def register_reranker(name: str, scorer: Callable[[Column, Column], Column]) ->
     RERANKERS[name] = scorer
 
 
-def rerank(ranking: DataFrame, questions: DataFrame, texts: DataFrame, depth: int, model: str = "overlap") -> DataFrame:
-    """Score the first `depth` candidates with a registered model and reorder them. questions: query_id, question; texts: item_id, text."""
+def model_scores(ranking: DataFrame, questions: DataFrame, texts: DataFrame, model: str) -> DataFrame:
+    """query_id, item_id, new_score: a registered model's score of each question (query_id, question) and ranked text (item_id, text)."""
     if model not in RERANKERS:
         raise ValueError(f"unknown reranker {model!r}; known: {sorted(RERANKERS)}")
-    head = ranking.filter(F.col("rank") <= depth).join(questions, "query_id").join(texts, "item_id")
-    return reorder(ranking, head.select("query_id", "item_id", RERANKERS[model](F.col("question"), F.col("text")).alias("new_score")), depth)
+    pairs = ranking.select("query_id", "item_id").join(questions, "query_id").join(texts, "item_id")
+    return pairs.select("query_id", "item_id", RERANKERS[model](F.col("question"), F.col("text")).alias("new_score"))
+
+
+def rerank(ranking: DataFrame, questions: DataFrame, texts: DataFrame, depth: int, model: str = "overlap") -> DataFrame:
+    """Score the first `depth` candidates with a registered model and reorder them. questions: query_id, question; texts: item_id, text."""
+    return reorder(ranking, model_scores(ranking.filter(F.col("rank") <= depth), questions, texts, model), depth)
+
+
+def cross_encoder(load: Callable[[], Callable[[list[tuple[str, str]]], list[float]]], batch: int = 32) -> Callable[[Column, Column], Column]:
+    """A reranker by any model of pairs: `load` gives a function from (question, text) pairs to scores and is called once in each worker."""
+
+    @F.pandas_udf("double")
+    def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        model = None
+        for q, t in batches:
+            model = model or load()
+            pairs = [(a or "", b or "") for a, b in zip(q, t)]
+            yield pd.Series([float(x) for at in range(0, len(pairs), batch) for x in model(pairs[at : at + batch])], dtype="float64")
+
+    return score
 
 
 def _overlap(question: Column, text: Column) -> Column:

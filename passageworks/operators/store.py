@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import hashlib
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,14 +45,51 @@ def write_new_vectors(new: DataFrame, path: str) -> None:
 
 
 def random_hyperplane_embedding(dim: int = 64) -> Callable[[Column], Column]:
-    """A deterministic embedding without model files: signed hashing of tokens, unit length. For tests and offline runs."""
+    """A deterministic embedding without model files: signed hashing of tokens, unit length. For tests and offline runs.
+
+    A token's axis is the number of the first seven hex digits of its MD5 modulo dim, its sign that of the eighth digit's lowest bit. Each token is
+    hashed once a worker, so a text takes time in proportion to its tokens.
+    """
     from ..functions.text import lexical_tokens
 
-    def embed(text: Column) -> Column:
-        tokens = F.transform(lexical_tokens(F.coalesce(text, F.lit(""))), lambda t: F.xxhash64(t))
-        axis = lambda i: F.aggregate(tokens, F.lit(0.0), lambda s, h: s + F.when(F.pmod(h, F.lit(dim)) == i, F.when(F.shiftrightunsigned(h, 40) % 2 == 0, 1.0).otherwise(-1.0)).otherwise(0.0))
-        raw = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), axis)
-        length = F.sqrt(F.aggregate(raw, F.lit(0.0), lambda s, v: s + v * v))
-        return F.transform(raw, lambda v: F.coalesce(v / F.nullif(length, F.lit(0.0)), F.lit(0.0)).cast("float"))
+    @F.pandas_udf("array<float>")
+    def embed_tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known: dict[str, tuple[int, float]] = {}
+
+        def place(t: str) -> tuple[int, float]:
+            if t not in known:
+                h = hashlib.md5(t.encode()).hexdigest()
+                known[t] = int(h[:7], 16) % dim, 1.0 if int(h[7], 16) % 2 == 0 else -1.0
+            return known[t]
+
+        for s in batches:
+            out = []
+            for tokens in s:
+                v = np.zeros(dim)
+                for t in tokens if tokens is not None else ():
+                    axis, sign = place(t)
+                    v[axis] += sign
+                n = np.linalg.norm(v)
+                out.append((v / n if n else v).astype(np.float32))
+            if len(known) > 1_000_000:
+                known.clear()
+            yield pd.Series(out)
+
+    return lambda text: embed_tokens(lexical_tokens(F.coalesce(text, F.lit(""))))
+
+
+def model_embedding(load: Callable[[], Callable[[list[str]], Sequence[Sequence[float]]]], batch: int = 64) -> Callable[[Column], Column]:
+    """An embedding by any model: `load` gives a function from a list of texts to vectors and is called once in each worker, when its first batch comes."""
+
+    @F.pandas_udf("array<float>")
+    def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = None
+        for s in batches:
+            model = model or load()
+            texts = ["" if t is None else t for t in s]
+            out: list = []
+            for at in range(0, len(texts), batch):
+                out += [np.asarray(v, np.float32) for v in model(texts[at : at + batch])]
+            yield pd.Series(out, dtype=object)
 
     return embed

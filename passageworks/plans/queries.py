@@ -456,42 +456,79 @@ def embed_documents(spark, d):
     t = table(spark, d, "documents").filter("text IS NOT NULL").select("doc_id", "text", identity.content_hash(F.col("text")).alias("content_hash"))
     cache = spark.createDataFrame([], "content_hash string, vector array<float>")
     out, _ = store.embed_with_cache(t, cache, store.random_hyperplane_embedding(16))
-    return out.select("doc_id", F.size("vector").alias("dim"), F.round(retrieval.norm(F.col("vector")), 4).alias("length"))
+    return out.select("doc_id", F.size("vector").cast("bigint").alias("dim"), F.round(retrieval.norm(F.col("vector")), 4).alias("length"), F.round(F.col("vector")[0].cast("double"), 4).alias("first"), F.round(F.col("vector")[15].cast("double"), 4).alias("last"))
 
 
 # Consistency
 
 
-def _joined(spark, d):
+_PLACE = ["doc_id", "ordinal"]
+
+
+def _keyed(spark, d, source_format):
     c = table(spark, d, "chunk").filter("text IS NOT NULL").groupBy("chunk_id").agg(*[F.first(x).alias(x) for x in ("source_format", "doc_id", "ordinal", "text")], F.max("section_path").alias("path"), F.max("section_anchor").alias("anchor"))
-    side = lambda f: consistency.grouped(c.filter(F.col("source_format") == f).select("chunk_id", "doc_id", "ordinal", "text", "path", "anchor"), "chunk_id", ["doc_id", "ordinal"])
-    return consistency.fallback_join(materialize(side("html"), "left"), materialize(side("pdf"), "right"))
+    return consistency.keyed(c.filter(F.col("source_format") == source_format))
+
+
+def _joined(spark, d):
+    """(join of the groups of both builds, keyed rows and groups of either)."""
+    rows = [_keyed(spark, d, f) for f in ("html", "pdf")]
+    groups = [materialize(consistency.grouped(r, "chunk_id", _PLACE), "groups") for r in rows]
+    return materialize(consistency.fallback_join(*groups), "joined"), rows, groups
+
+
+def _pairs(spark, d):
+    joined, rows, _ = _joined(spark, d)
+    return consistency.with_texts(joined, *rows, "chunk_id", _PLACE)
 
 
 @query
 def format_join_fallback(spark, d):
-    return _joined(spark, d).select("key", "item", F.col("n").cast("bigint").alias("n"), "right_key", "right_item")
+    return _joined(spark, d)[0].select("key", "item", F.col("n").cast("bigint").alias("n"), "right_key", "right_item")
 
 
 @query
 def jaccard_pairs(spark, d):
-    return consistency.compare(_joined(spark, d), chars=False).select("key", F.round("jaccard", 6).alias("jaccard"), F.round("length_ratio", 6).alias("length_ratio"))
+    return consistency.compare(_pairs(spark, d), chars=False).select("key", F.round("jaccard", 6).alias("jaccard"), F.round("length_ratio", 6).alias("length_ratio"))
 
 
 @query
 def char_similarity(spark, d):
-    return consistency.compare(_joined(spark, d)).select("key", "right_key", F.round("char_ratio", 6).alias("char_ratio"))
+    return consistency.compare(_pairs(spark, d)).select("key", "right_key", F.round("char_ratio", 6).alias("char_ratio"))
 
 
 @query
 def compare_summary(spark, d):
-    p = consistency.compare(_joined(spark, d), chars=False)
+    p = consistency.compare(_pairs(spark, d), chars=False)
     return p.groupBy(consistency.ratio_bucket(F.col("jaccard")).alias("bucket")).agg(F.count(F.lit(1)).alias("pairs"), F.round(F.median("length_ratio"), 6).alias("median_length_ratio"))
 
 
+@query
+def compare_worst(spark, d):
+    """The eight pairs that agree least: a report."""
+    p = consistency.compare(_pairs(spark, d), chars=False)
+    return consistency.worst(p, "jaccard").select("key", F.round("jaccard", 6).alias("jaccard"))
+
+
+@query
+def compare_coverage(spark, d):
+    joined, _, groups = _joined(spark, d)
+    c = consistency.coverage(joined, *groups)
+    return c.select("left_keys", "right_keys", "matched", F.round("left_coverage", 6).alias("left_coverage"), F.round("right_coverage", 6).alias("right_coverage"))
+
+
+@query
+def pair_vector_cosine(spark, d):
+    """Cosines of matched single passages, by hashed vectors of their texts."""
+    joined, rows, _ = _joined(spark, d)
+    texts = rows[0].select("chunk_id", "text").unionByName(rows[1].select("chunk_id", "text"))
+    vectors = texts.select(F.col("chunk_id").alias("item"), store.random_hyperplane_embedding(16)(F.col("text")).alias("vector"))
+    return consistency.vector_cosines(joined, vectors).select("key", "right_key", F.round("cosine", 4).alias("cosine"))
+
+
 @query
 def unmatched_keys(spark, d):
-    return consistency.unmatched_by_kind(_joined(spark, d))
+    return consistency.unmatched_by_kind(_joined(spark, d)[0])
 
 
 # Streaming

@@ -109,17 +109,41 @@ _SIDES = f"""c AS (SELECT chunk_id, any_value(source_format) AS source_format, a
 k AS (SELECT *, list_filter(list_transform(coalesce(path, []), lambda p: {_key('p')}), lambda x: x <> '') AS ks FROM c),
 ck AS (SELECT *, CASE WHEN coalesce(trim(anchor), '') <> '' THEN ['anchor:' || upper(trim(anchor))] ELSE list_concat(CASE WHEN len(ks) >= 2 THEN ['path2:' || ks[-2] || '|' || ks[-1]] ELSE [] END, CASE WHEN len(ks) BETWEEN 1 AND 2 THEN ['path1:' || ks[-1]] ELSE [] END) END AS keys FROM k),
 g AS (SELECT source_format, keys[1] AS key, count(*) AS n, arg_min(chunk_id, struct_pack(a := doc_id, b := ordinal, c := chunk_id)) AS item, arg_min(keys, struct_pack(a := doc_id, b := ordinal, c := chunk_id)) AS keys,
-  string_agg(text, chr(10) || chr(10) ORDER BY doc_id, ordinal, chunk_id) AS text, min(struct_pack(a := doc_id, b := ordinal, c := chunk_id)) AS first FROM ck WHERE len(keys) > 0 GROUP BY ALL),
+  string_agg(CASE WHEN instr(text, chr(10) || chr(10)) > 0 THEN substring(text, instr(text, chr(10) || chr(10)) + 2) ELSE text END, ' ' ORDER BY doc_id, ordinal, chunk_id) AS text, min(struct_pack(a := doc_id, b := ordinal, c := chunk_id)) AS first FROM ck WHERE len(keys) > 0 GROUP BY ALL),
 al AS (SELECT key, first, unnest(keys) AS alias FROM g WHERE source_format = 'pdf'),
 ix AS (SELECT alias, arg_min(key, struct_pack(a := first, b := key)) AS right_key, count(*) AS n FROM al GROUP BY alias HAVING NOT starts_with(alias, 'path1:') OR count(*) = 1),
 lk AS (SELECT key, unnest(keys) AS alias, unnest(range(len(keys))) AS pos FROM g WHERE source_format = 'html'),
 best AS (SELECT lk.key, arg_min(ix.right_key, lk.pos) AS right_key FROM lk JOIN ix USING (alias) GROUP BY lk.key),
-j AS (SELECT g.key, g.item, g.n, g.text, best.right_key, r.item AS right_item, r.text AS right_text FROM g LEFT JOIN best USING (key) LEFT JOIN g r ON r.key = best.right_key AND r.source_format = 'pdf' WHERE g.source_format = 'html'),
+j AS (SELECT g.key, g.item, g.n, g.text, best.right_key, r.item AS right_item, r.n AS right_n, r.text AS right_text FROM g LEFT JOIN best USING (key) LEFT JOIN g r ON r.key = best.right_key AND r.source_format = 'pdf' WHERE g.source_format = 'html'),
 w AS (SELECT *, {_COMPARABLE.format(t='text')} AS lt, {_COMPARABLE.format(t='right_text')} AS rt FROM j WHERE right_key IS NOT NULL),
 s AS (SELECT *, list_distinct(regexp_extract_all(lt, '[a-z0-9]+')) AS lw, list_distinct(regexp_extract_all(rt, '[a-z0-9]+')) AS rw FROM w),
 sim AS (SELECT key, coalesce(len(list_intersect(lw, rw)) / nullif(len(list_distinct(list_concat(lw, rw))), 0), 0.0) AS jaccard, coalesce(least(length(lt), length(rt)) / nullif(greatest(length(lt), length(rt)), 0), 1.0) AS length_ratio FROM s)"""
 
+
+
+def _embedded(source: str, key: str, text: str, dim: int = 16) -> str:
+    """CTEs ht, ax, vec: signed hashing of tokens, unit length; vec has key and v."""
+    return f"""ht AS (SELECT {key} AS k, unnest({_TOKENS.format(t=text)}) AS t FROM {source}),
+ax AS (SELECT k, ('0x' || substr(md5(t), 1, 7))::BIGINT % {dim} AS a, sum(CASE WHEN ('0x' || substr(md5(t), 8, 1))::INT % 2 = 0 THEN 1 ELSE -1 END)::DOUBLE AS s FROM ht GROUP BY ALL),
+vec AS (SELECT k, list_transform(range({dim}), lambda i: coalesce(m[i], 0.0)::FLOAT) AS v FROM (SELECT k, map_from_entries(list((a, s / nullif(l, 0)))) AS m FROM (SELECT *, sqrt(sum(s * s) OVER (PARTITION BY k)) AS l FROM ax) GROUP BY k))"""
+
+
+_BM25 = f"""t AS (SELECT doc_id, {_TOKENS.format(t="coalesce(text, '')")} AS t FROM documents), st AS (SELECT count(*) AS n, avg(len(t)) AS avgdl FROM t),
+po AS (SELECT doc_id, dl, term, count(*) AS tf FROM (SELECT doc_id, len(t) AS dl, unnest(t) AS term FROM t) GROUP BY ALL),
+df AS (SELECT term, ln(any_value(n) - count(*) + 0.5) - ln(count(*) + 0.5) AS raw FROM po CROSS JOIN st GROUP BY term), idf AS (SELECT term, CASE WHEN raw < 0 THEN 0.25 * (SELECT avg(raw) FROM df) ELSE raw END AS idf FROM df),
+qt AS (SELECT query_id, term, count(*) AS qn FROM (SELECT query_id, unnest({_TOKENS.format(t='question')}) AS term FROM gold_query) GROUP BY ALL),
+sc AS (SELECT query_id, doc_id AS item_id, sum(qn * idf * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / avgdl))) AS score FROM qt JOIN idf USING (term) JOIN po USING (term) CROSS JOIN st GROUP BY ALL),
+bm AS (SELECT query_id, item_id, score, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, item_id) AS rank FROM sc QUALIFY rank <= 100),
+over AS (SELECT bm.query_id, bm.item_id, bm.rank, len(list_intersect(list_distinct(q.qw), list_distinct(t.t))) / greatest(len(list_distinct(q.qw)), 1) AS new_score FROM bm JOIN (SELECT query_id, {_TOKENS.format(t='question')} AS qw FROM gold_query) q USING (query_id) JOIN t ON t.doc_id = bm.item_id)"""
+
 SQL: dict[str, str] = {
+    "rerank_overlap": f"WITH {_BM25} SELECT query_id, item_id, row_number() OVER (PARTITION BY query_id ORDER BY -new_score, rank) AS rank, round(new_score, 6) AS score FROM over WHERE rank <= 20",
+    "embed_documents": f"WITH {_embedded('documents', 'doc_id', 'text')} SELECT doc_id, 16::BIGINT AS dim, round(coalesce(sqrt(list_sum(list_transform(v, lambda x: x::DOUBLE * x))), 0.0), 4) AS length, round(coalesce(v[1], 0)::DOUBLE, 4) AS first, round(coalesce(v[16], 0)::DOUBLE, 4) AS last FROM documents LEFT JOIN vec ON k = doc_id WHERE text IS NOT NULL",
+    "compare_worst": f"WITH {_SIDES} SELECT key, round(jaccard, 6) AS jaccard FROM sim ORDER BY sim.jaccard, key LIMIT 8",
+    "compare_coverage": f"""WITH {_SIDES}, cov AS (SELECT (SELECT count(*) FROM g WHERE source_format = 'html') AS left_keys, (SELECT count(*) FROM g WHERE source_format = 'pdf') AS right_keys, (SELECT count(right_key) FROM j) AS matched)
+SELECT *, round(matched / left_keys, 6) AS left_coverage, round(matched / right_keys, 6) AS right_coverage FROM cov""",
+    "pair_vector_cosine": f"""WITH {_SIDES}, {_embedded('c', 'chunk_id', 'text')}
+SELECT j.key, j.right_key, round(coalesce(list_cosine_similarity(a.v::DOUBLE[], b.v::DOUBLE[]), 0), 4) AS cosine FROM j JOIN vec a ON a.k = j.item JOIN vec b ON b.k = j.right_item WHERE n = 1 AND right_n = 1""",
     "content_hash_dedup": "SELECT substr(sha256(text), 1, 16) AS content_hash, min(doc_id) AS doc_id, count(*) AS copies FROM documents WHERE text IS NOT NULL GROUP BY 1",
     "stable_chunk_id": "SELECT DISTINCT chunk_id, substr(sha1(concat_ws('|', source_format, doc_id, coalesce(section_anchor, ''), ordinal::VARCHAR)), 1, 16) AS derived_id FROM chunk",
     "hash_audit": "SELECT source_format, CASE WHEN content_hash IS NULL THEN 'missing' WHEN content_hash = substr(sha256(text), 1, 16) THEN 'current' ELSE 'stale' END AS state, count(*) AS n FROM chunk WHERE text IS NOT NULL GROUP BY ALL",

@@ -48,14 +48,18 @@ def pages_of_manifest(manifest: DataFrame, pages: DataFrame) -> DataFrame:
     return manifest.join(pages, "slug")
 
 
-def read_vector_cache(spark: SparkSession, path: str) -> DataFrame:
-    """The cache, empty where none has been written yet."""
+def read_parquet_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A Parquet dataset, empty where none has been written yet."""
     try:
-        return spark.read.schema(VECTOR).parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except Exception as e:  # noqa: BLE001
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        return spark.createDataFrame([], VECTOR)
+        return spark.createDataFrame([], schema)
+
+
+def read_vector_cache(spark: SparkSession, path: str) -> DataFrame:
+    return read_parquet_or_empty(spark, path, VECTOR)
 
 
 def load_goldset(spark: SparkSession, path: str) -> DataFrame:
