@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.text import preview, token_count
-from .operators import chunking, consistency, html, metrics, retrieval, store
+from .operators import chunking, consistency, html, layout, metrics, retrieval, store
 from .session import materialize, ship
-from .sources.records import Corpus, read_parquet_or_empty, read_vector_cache
+from .sources.records import DOCUMENT, Corpus, read_parquet_or_empty, read_vector_cache
 
 QUERY_PREFIX = "Represent this sentence for searching relevant passages: "
 
@@ -27,6 +27,15 @@ class Engine:
         docs.write.mode("overwrite").parquet(self.corpus.stage("documents", "html"))
         return docs
 
+    def extract_layout(self, lines: DataFrame, outline: DataFrame, pages: int, outermost: bool = True) -> DataFrame:
+        """Documents of a laid-out build: those whose titles the html build has, or all where there is no html build."""
+        path = self.corpus.stage("documents", "html")
+        have = read_parquet_or_empty(self.spark, path, DOCUMENT)
+        wanted = None if have.isEmpty() else layout.wanted_titles(have)
+        docs = layout.extract_documents(lines, outline, pages, wanted, outermost)
+        docs.write.mode("overwrite").parquet(self.corpus.stage("documents", "pdf"))
+        return docs
+
     def chunk(self, source_format: str) -> DataFrame:
         docs = self.spark.read.parquet(self.corpus.stage("documents", source_format)).withColumn("source_format", F.lit(source_format))
         path = self.corpus.stage("chunks", source_format)
@@ -72,10 +81,24 @@ class Engine:
     def evaluate(self, gold: DataFrame, source_format: str, k: int = 50) -> DataFrame:
         chunks = self.spark.read.parquet(self.corpus.stage("chunks", source_format))
         r = self.ask(gold.select("query_id", "question"), source_format, k).withColumn("config", F.lit("dense"))
+        e = metrics.expectations(gold)
+        return metrics.measures(metrics.first_ranks(r.select("config", "query_id", "item_id", "rank"), self._hits(r, gold, chunks), e.select("query_id", "topic")))
+
+    def experiment(self, gold: DataFrame, source_format: str = "html", models: tuple[str, ...] = ("overlap",)) -> DataFrame:
+        """Every configuration's measures, with the recall of its candidate pool, over one pass of retrieval."""
+        chunks = self.spark.read.parquet(self.corpus.stage("chunks", source_format))
+        dense = materialize(self.ask(gold.select("query_id", "question"), source_format, retrieval.FUSED_FROM).select("query_id", "item_id", "rank", "score"), "dense")
+        sparse = materialize(retrieval.InvertedIndex(chunks, "chunk_id", "text").search(gold, retrieval.FUSED_FROM), "sparse")
+        texts = chunks.select(F.col("chunk_id").alias("item_id"), "text")
+        runs = materialize(retrieval.experiment_runs(dense, sparse, gold.select("query_id", "question"), texts, models), "runs")
+        ranks = metrics.first_ranks(runs, self._hits(runs, gold, chunks), metrics.expectations(gold).select("query_id", "topic"))
+        return metrics.measures(ranks).join(metrics.pool_recall(ranks), "config")
+
+    def _hits(self, rankings: DataFrame, gold: DataFrame, chunks: DataFrame) -> DataFrame:
         e = metrics.expectations(gold)
         c = chunks.select(F.col("chunk_id").alias("item_id"), F.col("section_anchor").alias("anchor"), F.array_join("section_path", " > ").alias("crumb"))
-        hits = r.select("query_id", "item_id").join(c, "item_id").join(e, "query_id").filter(metrics.is_relevant(F.col("anchor"), F.col("crumb"), F.col("anchors"), F.col("paths"))).select("query_id", "item_id")
-        return metrics.measures(metrics.first_ranks(r.select("config", "query_id", "item_id", "rank"), hits, e.select("query_id", "topic")))
+        pairs = rankings.select("query_id", "item_id").distinct().join(c, "item_id").join(e, "query_id")
+        return pairs.filter(metrics.is_relevant(F.col("anchor"), F.col("crumb"), F.col("anchors"), F.col("paths"))).select("query_id", "item_id")
 
     def compare(self) -> DataFrame:
         """Coverage and similarities of the two builds in one row; vectors count where both are stored."""

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.identity import pdf_doc_id
-from ..functions.text import parameter_anchor, split_section_number, title_key
+from ..functions.text import fence_code, normalize_prose, parameter_anchor, split_section_number, title_key
 
 TOP, BOTTOM = 0.065, 0.925
 GAP_FACTOR, GAP_DEFAULT = 1.55, 12.0
@@ -64,13 +64,28 @@ def _joined(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.min("page").alias("page"), text.alias("text"))
 
 
-def blocks(lines: DataFrame, by: str = "doc") -> DataFrame:
-    """by, block, kind, page, text: runs of at least two mono lines are code, everything between them prose."""
+def _runs(lines: DataFrame, by: str) -> DataFrame:
+    """lines with `block`, the number of their run in by, and `kind`: runs of at least two mono lines are code, everything between them prose."""
     w = _order(by)
     run = lines.withColumn("_start", F.coalesce((F.lag("mono").over(w) != F.col("mono")).cast("int"), F.lit(1))).withColumn("_run", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     code = run.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(by, "_run"))).withColumn("_code", F.col("mono") & (F.col("_n") >= CODE_RUN))
     again = code.withColumn("_start", F.coalesce((F.lag("_code").over(w) != F.col("_code")).cast("int"), F.lit(1))).withColumn("block", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return _joined(again.withColumn("kind", F.when(F.col("_code"), "code").otherwise("prose")), [by, "block", "kind"])
+    return again.withColumn("kind", F.when(F.col("_code"), "code").otherwise("prose"))
+
+
+def blocks(lines: DataFrame, by: str = "doc") -> DataFrame:
+    """by, block, kind, page, text: runs of at least two mono lines are code, everything between them prose."""
+    return _joined(_runs(lines, by), [by, "block", "kind"])
+
+
+def text_blocks(lines: DataFrame, by: str = "doc") -> DataFrame:
+    """by, block, paragraph, kind, text: fenced code, and prose as one normalised text a paragraph, with words rejoined that lines had broken."""
+    runs = _runs(lines, by).withColumn("_r", F.concat_ws("|", F.col(by), F.col("block").cast("string")))
+    code = _joined(runs.filter("kind = 'code'"), [by, "block"]).select(by, "block", F.lit(0).cast("bigint").alias("paragraph"), F.lit("code").alias("kind"), fence_code(F.col("text")).alias("text"))
+    prose = runs.filter("kind = 'prose'")
+    name = prose.groupBy("_r").agg(F.first(by).alias(by), F.first("block").alias("block"))
+    prose = paragraphs(prose, "_r").join(name, "_r").select(by, "block", "paragraph", F.lit("prose").alias("kind"), normalize_prose(F.col("text"), from_pdf=True).alias("text"))
+    return code.unionByName(prose).filter("text <> ''")
 
 
 def split_at(lines: DataFrame, starts: Column, by: str = "doc") -> DataFrame:
@@ -192,7 +207,8 @@ def extract_documents(lines: DataFrame, outline: DataFrame, pages: int, wanted:
     heads = own.filter("heading").groupBy("_s").agg(F.min_by("text", F.struct("page", "y0")).alias("sub"))
     own = split_at(own.filter("NOT heading"), starts_parameter(), "_s").withColumn("_p", F.concat_ws("|", "_s", F.col("part").cast("string")))
     names = own.filter((F.col("part") > 0) & starts_parameter()).groupBy("_p").agg(F.first(F.trim("text")).alias("param"))
-    body = blocks(own.filter(~((F.col("part") > 0) & starts_parameter())), "_p").groupBy("_p").agg(F.array_sort(F.collect_list(F.struct("block", F.struct("kind", F.when(F.col("kind") == "code", F.concat(F.lit("```\n"), F.col("text"), F.lit("\n```"))).otherwise(F.regexp_replace("text", "\n", " ")).alias("text"), F.lit(None).cast("string").alias("lang")).alias("b")))).alias("bs"))
+    body = text_blocks(own.filter(~((F.col("part") > 0) & starts_parameter())), "_p")
+    body = body.groupBy("_p").agg(F.array_sort(F.collect_list(F.struct("block", "paragraph", F.struct("kind", "text", F.lit(None).cast("string").alias("lang")).alias("b")))).alias("bs"))
     meta = own.groupBy("_p", "_s", "doc", "index", "h", "part").agg(F.first("level").alias("level"), F.first("title").alias("title"), F.first("path").alias("path"), F.min("page").alias("page"), F.first("r").alias("r"))
     s = meta.join(heads, "_s", "left").join(names, "_p", "left").join(body, "_p", "left").filter((F.col("part") == 0) | F.col("bs").isNotNull())
     number = split_section_number(F.coalesce("param", "sub", "title"))

@@ -78,6 +78,23 @@ def random_hyperplane_embedding(dim: int = 64) -> Callable[[Column], Column]:
     return lambda text: embed_tokens(lexical_tokens(F.coalesce(text, F.lit(""))))
 
 
+def providers(device: str, available: Sequence[str] | None = None) -> list[str]:
+    """The providers a model session asks for: cpu, auto (the GPU where there is one, then the CPU) or cuda (refused without a GPU)."""
+    gpu, cpu = "CUDAExecutionProvider", "CPUExecutionProvider"
+    if device not in ("cpu", "auto", "cuda"):
+        raise ValueError(f"unknown device {device!r}")
+    if available is None:
+        try:
+            from onnxruntime import get_available_providers
+
+            available = get_available_providers()
+        except ImportError:
+            available = [cpu]
+    if device == "cuda" and gpu not in available:
+        raise RuntimeError("no GPU provider is available here")
+    return [cpu] if device == "cpu" or gpu not in available else [gpu, cpu]
+
+
 def model_embedding(load: Callable[[], Callable[[list[str]], Sequence[Sequence[float]]]], batch: int = 64) -> Callable[[Column], Column]:
     """An embedding by any model: `load` gives a function from a list of texts to vectors and is called once in each worker, when its first batch comes."""
 

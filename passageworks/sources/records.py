@@ -82,6 +82,13 @@ def load_goldset(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumn("query_id", F.monotonically_increasing_id())
 
 
+def write_report(df: DataFrame, folder: str, *what: str) -> str:
+    """A small result as one JSON file whose name tells what it is; returns its path."""
+    path = f"{folder.rstrip('/')}/{'-'.join(what)}.json"
+    df.coalesce(1).write.mode("overwrite").json(path)
+    return path
+
+
 class Corpus:
     """Paths of one corpus below a root: derived stages are its own, pages and vectors are shared by content."""
 
