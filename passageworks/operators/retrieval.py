@@ -5,6 +5,7 @@ Every ranking is a relation (config, query_id, rank, item_id, score) with the to
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import cached_property
 
@@ -17,6 +18,8 @@ from ..functions.text import lexical_tokens
 from ..session import materialize
 
 QUERY_BLOCK = 2_000
+#: Query terms that are broadcast at most (a few MB); more are joined by a shuffle.
+ASKED = 50_000
 
 
 def dot(x: Column, y: Column) -> Column:
@@ -102,19 +105,28 @@ class InvertedIndex:
     def __init__(self, docs: DataFrame, item_id: str, text: str, k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25):
         self.k1, self.b = k1, b
         self.docs = docs.select(F.col(item_id).alias("item_id"), lexical_tokens(F.coalesce(F.col(text), F.lit(""))).alias("t"))
-        self.stats = self.docs.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("t")).alias("avgdl"))
         self._epsilon = epsilon
 
     @cached_property
     def postings(self) -> DataFrame:
-        # Counted within each document's row, so no shuffle is needed to make them.
-        tf = F.transform(F.array_distinct("t"), lambda w: F.struct(w.alias("term"), F.size(F.filter("t", lambda x: x == w)).alias("tf")))
-        found = self.docs.select("item_id", F.size("t").alias("dl"), F.explode(tf).alias("p")).select("p.term", "item_id", F.col("p.tf").cast("bigint").alias("tf"), "dl")
-        return materialize(found, "postings")
+        # Counted within each document's row: no shuffle, and a document's postings stay together, so a search adds them up before it shuffles.
+        def count(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in it:
+                n = [Counter(t) for t in pdf["t"]]
+                sizes = [len(c) for c in n]
+                yield pd.DataFrame({"term": [w for c in n for w in c], "item_id": pdf["item_id"].repeat(sizes).array, "tf": [k for c in n for k in c.values()], "dl": np.repeat([c.total() for c in n], sizes).astype(np.int32)})
+
+        i_type = self.docs.schema["item_id"].dataType.simpleString()
+        return materialize(self.docs.mapInPandas(count, f"term string, item_id {i_type}, tf bigint, dl int"), "postings")
+
+    @cached_property
+    def stats(self) -> DataFrame:
+        n, total = self.docs.agg(F.count(F.lit(1)).alias("n")), self.postings.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("total"))
+        return n.crossJoin(F.broadcast(total)).select("n", (F.col("total") / F.nullif("n", F.lit(0))).alias("avgdl"))  # one row each
 
     @cached_property
     def terms(self) -> DataFrame:
-        df = self.docs.select(F.explode(F.array_distinct("t")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        df = self.postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
         raw = df.crossJoin(F.broadcast(self.stats)).withColumn("raw", F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))  # stats is one row
         mean = raw.agg(F.avg("raw").alias("mean"))
         return raw.crossJoin(F.broadcast(mean)).select("term", "df", F.when(F.col("raw") < 0, F.col("mean") * self._epsilon).otherwise(F.col("raw")).alias("idf"))
@@ -122,12 +134,14 @@ class InvertedIndex:
     def search(self, queries: DataFrame, k: int, query_id: str = "query_id", text: str = "question", zero_fill: bool = False) -> DataFrame:
         """Top k per query by BM25. A word repeated in the question counts each time. zero_fill also ranks documents without any hit.
 
-        Query terms, with their weights, are joined with the postings, and the products summed per query and document. What is ranked is cut to
-        k per query before it is shuffled.
+        Query terms, with their weights, are joined with the postings, by broadcast up to ASKED of them, and the products summed per query and
+        document. What is ranked is cut to k per query before it is shuffled.
         """
         q = queries.select(F.col(query_id).alias("query_id"), lexical_tokens(F.coalesce(F.col(text), F.lit(""))).alias("t"))
         asked = q.select("query_id", F.explode("t").alias("term")).groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("times"))
-        asked = asked.join(self.terms, "term").select("query_id", "term", (F.col("times") * F.col("idf")).alias("weight"))
+        asked = materialize(asked.join(self.terms, "term").select("query_id", "term", (F.col("times") * F.col("idf")).alias("weight")), "asked")
+        if asked.count() <= ASKED:
+            asked = F.broadcast(asked)
         norm = F.lit(self.k1) * (1 - self.b + self.b * F.col("dl") / F.coalesce("avgdl", F.lit(1.0)))
         part = F.col("weight") * F.col("tf") * (self.k1 + 1) / (F.col("tf") + norm)
         hits = self.postings.join(asked, "term").crossJoin(F.broadcast(self.stats))  # stats is one row

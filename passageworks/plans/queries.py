@@ -465,14 +465,11 @@ def embed_documents(spark, d):
 _PLACE = ["doc_id", "ordinal"]
 
 
-def _keyed(spark, d, source_format):
-    c = table(spark, d, "chunk").filter("text IS NOT NULL").groupBy("chunk_id").agg(*[F.first(x).alias(x) for x in ("source_format", "doc_id", "ordinal", "text")], F.max("section_path").alias("path"), F.max("section_anchor").alias("anchor"))
-    return consistency.keyed(c.filter(F.col("source_format") == source_format))
-
-
 def _joined(spark, d):
     """(join of the groups of both builds, keyed rows and groups of either)."""
-    rows = [_keyed(spark, d, f) for f in ("html", "pdf")]
+    c = table(spark, d, "chunk").filter("text IS NOT NULL").groupBy("chunk_id").agg(*[F.first(x).alias(x) for x in ("source_format", "doc_id", "ordinal", "text")], F.max("section_path").alias("path"), F.max("section_anchor").alias("anchor"))
+    keyed = materialize(consistency.keyed(c).drop("path", "anchor"), "keyed")
+    rows = [keyed.filter(F.col("source_format") == f) for f in ("html", "pdf")]
     groups = [materialize(consistency.grouped(r, "chunk_id", _PLACE), "groups") for r in rows]
     return materialize(consistency.fallback_join(*groups), "joined"), rows, groups
 
