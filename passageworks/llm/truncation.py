@@ -43,9 +43,8 @@ _ITEM = re.compile(r"^\s*(?:[-*+•]|\d{1,3}[.)])\s+(.*)$")
 _CODE = re.compile(r"^\s*(?:static|extern|const|unsigned|int|long|char|void|bool|double|return|typedef|struct|enum|#\w+|[A-Z]{2,}\s).*[;{}]$")
 _SETTING = re.compile(r"^\s{2,}[\w.]+\s*[=:]\s*\S+$")
 _QUOTE = re.compile(r"^[ \t]*(?:>[ \t]?)+")
-_LAST = re.compile(r"(\w+)\W*$")
 _WORDS = re.compile(r"\w+")
-_ENDED = re.compile(r"(\w+)[`\"')\]]*[.!?](?=\s|$)")
+_ENDED = re.compile(r"\b(\w++)[`\"')\]]*+[.!?](?=\s|$)")
 _LOWER = re.compile(r"[`\"(]*[a-z]|`")
 
 
@@ -61,6 +60,17 @@ def without_stops(body: str) -> bool:
     return all(len(x) > WRAPPED or len(x) + 1 + len(y.split(" ")[0]) <= width for x, y in zip(lines, lines[1:])) and (len(lines) > 1 or len(lines[0]) > WRAPPED)
 
 
+def last_word(text: str) -> str:
+    """The last word in lower case, empty if there is none."""
+    end = len(text)
+    while end and not (text[end - 1].isalnum() or text[end - 1] == "_"):
+        end -= 1
+    begin = end
+    while begin and (text[begin - 1].isalnum() or text[begin - 1] == "_"):
+        begin -= 1
+    return text[begin:end].lower()
+
+
 def ending(text: str | None) -> tuple[str, str]:
     """(state, last word): whether the text's last unit is complete, cut, bare (a unit that needs no stop and shows no cut) or stopless (of a
     text written without stops)."""
@@ -70,8 +80,7 @@ def ending(text: str | None) -> tuple[str, str]:
     lines = body.split("\n")
     line = _QUOTE.sub("", lines[-1]).rstrip()
     before = lines[-2].strip() if len(lines) > 1 else ""
-    at = _LAST.search(body.lower())
-    last = at.group(1) if at else ""
+    last = last_word(body)
     mark = _MARK.search(body)
     if mark:
         return (COMPLETE if _ANNOUNCED.search(body[: mark.start()]) else CUT), last
@@ -84,7 +93,7 @@ def ending(text: str | None) -> tuple[str, str]:
         return (COMPLETE if line.endswith("|") and line.count("|") == cells else CUT), last
     if _SIGN_OFF.match(line) or _SIGN_OFF.match(before) and _NAME.match(line):
         return COMPLETE, last
-    if _STOP.search(line) or _ASIDE.search(body):
+    if _STOP.search(line) or body[-1] in ")]" and _ASIDE.search(body):
         return COMPLETE, last
     if _ENTITY.search(line):
         return CUT, last
