@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, release
+from .neardup import Hashes
 
 SHINGLE = 3
 SKETCH = 6
@@ -43,9 +45,12 @@ _NOT_KEY = re.compile(r"[^a-z0-9]+")
 
 
 def fold(text: str) -> str:
+    if text.isascii() and "-" not in text:
+        return text
     return _HYPHEN.sub(r"\1", unicodedata.normalize("NFKC", text).translate(_INVISIBLE))
 
 
+@lru_cache(maxsize=100_000)
 def title_key(title: str | None) -> str:
     """A title in lower case without its number, spaces and punctuation."""
     return _NOT_KEY.sub("", _NUMBER.sub("", fold(title or "")).lower())
@@ -62,17 +67,12 @@ def _same(x: Column, y: Column, least: int) -> Column:
     return (x == y) | (F.endswith(x, F.lit("*")) & cut(x, y)) | (F.endswith(y, F.lit("*")) & cut(y, x))
 
 
-def _shingle_hashes(words: list[str], cache: dict[str, int], n: int) -> np.ndarray:
-    h = np.empty(len(words), np.uint64)
-    for i, w in enumerate(words):
-        x = cache.get(w)
-        if x is None:
-            x = cache[w] = xxhash.xxh64_intdigest(w)
-        h[i] = x
-    n = min(n, len(words))
+def _shingle_hashes(h: np.ndarray, n: int) -> np.ndarray:
+    """Sorted distinct hashes of the runs of n words, or of all words if there are fewer, from the words' hashes."""
+    n = min(n, len(h))
     if not n:
         return np.empty(0, np.uint64)
-    out = np.zeros(len(words) - n + 1, np.uint64)
+    out = np.zeros(len(h) - n + 1, np.uint64)
     for k in range(n):
         out = (out ^ h[k : len(h) - n + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
         out ^= out >> np.uint64(29)
@@ -87,7 +87,7 @@ PROFILE = "id string, hid bigint, class binary, side string, part string, keys a
 
 
 def _profile(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cache: dict[str, int] = {}
+    cache = Hashes()
     for batch in it:
         cols = {c: batch.column(c).to_pylist() for c in ("id", "side", "part", "text", "path", "anchor")}
         kinds, keys, headings, shingles, titles, paths, anchors = [], [], [], [], [], [], []
@@ -97,14 +97,15 @@ def _profile(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             head, body = (text[:at], text[at + 2 :]) if at >= 0 else ("", text)
             told = [p for p in path or () if p and p.strip()]
             steps = [k for p in (told or head.split(" > ")) if (k := title_key(p))]
-            words = _WORD.findall(fold(body).lower())
+            found = _WORD.findall(fold(body).lower())
+            words = np.fromiter(map(cache.__getitem__, found), np.uint64, len(found))
             title = _last_title(told[-1]) if told else ""
             parent = steps[-2] if told and len(steps) > 1 else ""
             own = np.uint64(xxhash.xxh64_intdigest(str(part)))
-            short = _shingle_hashes(words, cache, SHINGLE)
+            short = _shingle_hashes(words, SHINGLE)
             anchor = (anchor or "").strip().upper().replace("_", "-")
             kinds.append(xxhash.xxh3_128_digest(repr((side, part, title, steps, anchor)).encode() + short.tobytes()))
-            keys.append((_shingle_hashes(words, cache, SKETCH_SHINGLE)[:SKETCH] ^ own).view(np.int64))
+            keys.append((_shingle_hashes(words, SKETCH_SHINGLE)[:SKETCH] ^ own).view(np.int64))
             headings.append(_signed(f"{part}|{parent}|{title}") if title else None)
             shingles.append((short >> np.uint64(32)).astype(np.uint32).view(np.int32))
             titles.append(title)
