@@ -292,15 +292,17 @@ def _templates(flat: DataFrame) -> DataFrame:
     return materialize(here.select("host", "key", "n", "list"), "templates")
 
 
-def _with_templates(rows: DataFrame, known: DataFrame, total: int, how: str) -> DataFrame:
-    """Rows joined with the templates of their host: "left" adds `list`, null where the template is not known, "left_semi" keeps known ones.
+def _with_templates(rows: DataFrame, known: DataFrame, total: int) -> DataFrame:
+    """Rows (host, key, block_id, line_no, ...) with `list` of their template on their host, null where it is not known.
 
-    Templates that make up more than 1 / HOT_LINES of the `total` lines, of which there can be no more than HOT_LINES, are broadcast.
+    Templates that make up more than 1 / HOT_LINES of the `total` lines, of which there can be no more than HOT_LINES, are broadcast, and
+    rows that have found theirs are spread over the tasks of the join with the others.
     """
-    hot = F.broadcast(known.filter(F.col("n") * HOT_LINES > total).select("host", "key", "list"))
-    cold = known.filter(F.col("n") * HOT_LINES <= total).select("host", "key", "list")
-    rest = rows.join(hot, ["host", "key"], "left_anti").join(cold, ["host", "key"], how)
-    return rows.join(hot, ["host", "key"], "inner" if how == "left" else how).unionByName(rest)
+    hot = F.broadcast(known.filter(F.col("n") * HOT_LINES > total).select("host", "key", F.col("list").alias("_hot")))
+    cold = known.filter(F.col("n") * HOT_LINES <= total).select("host", F.col("key").alias("_key"), F.lit(False).alias("_done"), "list")
+    rows = rows.join(hot, ["host", "key"], "left").withColumn("_done", F.col("_hot").isNotNull())
+    rows = rows.withColumn("_key", F.when(F.col("_done"), F.xxhash64("block_id", "line_no")).otherwise(F.col("key")))
+    return rows.join(cold, ["host", "_key", "_done"], "left").withColumn("list", F.coalesce("_hot", "list")).drop("_hot", "_done", "_key")
 
 
 def page_lines(blocks: DataFrame, manifest: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -317,8 +319,8 @@ def page_lines(blocks: DataFrame, manifest: DataFrame) -> tuple[DataFrame, DataF
     known, total = _templates(flat), flat.count()
 
     texts = lines.filter(_bit(LINKS)).select("host", "key", "block_id", "line_no", "line")
-    links = _link_rows(texts, _link_entries(_with_templates(texts, known, total, "left_semi")))
-    rows = _with_templates(flat.select("host", "key", "block_id", "line_no", "bits", "early"), known, total, "left").join(links, ["block_id", "line_no"], "left")
+    links = _link_rows(texts, _link_entries(_with_templates(texts, known, total).filter("list IS NOT NULL")))
+    rows = _with_templates(flat.select("host", "key", "block_id", "line_no", "bits", "early"), known, total).join(links, ["block_id", "line_no"], "left")
     by_block = Window.partitionBy("block_id").orderBy("line_no")
     beside = (F.lag("links").over(by_block) > 0) | (F.lead("links").over(by_block) > 0)
     row = F.coalesce((F.col("links") == 2) | ((F.col("links") == 1) & beside), F.lit(False)) & ~_bit(ROW) & ~_bit(OWN)
