@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .engine import Engine
 from .operators import store
-from .session import get_session
+from .session import drop_materialized, get_session
 from .sources import fetch
 from .sources.records import CORPORA, load_goldset, read_pages, write_report
 
@@ -67,6 +67,7 @@ def main(args: list[str] | None = None) -> int:
         e.compare().show(truncate=False)
     else:
         e.status().show()
+    drop_materialized(spark)
     return 0
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.identity import pdf_doc_id
 from ..functions.text import fence_code, normalize_prose, parameter_anchor, split_section_number, title_key
+from ..session import materialize
 
 TOP, BOTTOM = 0.065, 0.925
 GAP_FACTOR, GAP_DEFAULT = 1.55, 12.0
@@ -80,7 +81,7 @@ def blocks(lines: DataFrame, by: str = "doc") -> DataFrame:
 
 def text_blocks(lines: DataFrame, by: str = "doc") -> DataFrame:
     """by, block, paragraph, kind, text: fenced code, and prose as one normalised text a paragraph, with words rejoined that lines had broken."""
-    runs = _runs(lines, by).withColumn("_r", F.concat_ws("|", F.col(by), F.col("block").cast("string")))
+    runs = materialize(_runs(lines, by), "runs").withColumn("_r", F.concat_ws("|", F.col(by), F.col("block").cast("string")))
     code = _joined(runs.filter("kind = 'code'"), [by, "block"]).select(by, "block", F.lit(0).cast("bigint").alias("paragraph"), F.lit("code").alias("kind"), fence_code(F.col("text")).alias("text"))
     prose = runs.filter("kind = 'prose'")
     name = prose.groupBy("_r").agg(F.first(by).alias(by), F.first("block").alias("block"))
@@ -194,7 +195,7 @@ def extract_documents(lines: DataFrame, outline: DataFrame, pages: int, wanted:
     """
     o = outline_ends(outline, pages)
     roots = select_roots(o if wanted is None else matched_entries(o, wanted), outermost)
-    root = roots.select("doc", "index", F.struct(F.col("index").alias("root"), "end_index", F.col("title").alias("root_title"), F.col("page").alias("root_page"), F.col("end_page").alias("root_end")).alias("r"))
+    root = roots.select("doc", "index", F.struct(F.col("index").alias("root"), "end_index", F.col("title").alias("root_title"), F.col("page").alias("root_page"), F.col("end_page").alias("root_end"), F.size("path").alias("depth")).alias("r"))
     w = Window.partitionBy("doc").orderBy("index").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     member = o.join(root, ["doc", "index"], "left").withColumn("r", F.last("r", ignorenulls=True).over(w))
     member = member.filter("r IS NOT NULL AND (r.end_index IS NULL OR index < r.end_index)")
@@ -204,19 +205,22 @@ def extract_documents(lines: DataFrame, outline: DataFrame, pages: int, wanted:
     own = own.filter(~((F.col("page") == F.col("e_page")) & (F.col("y0") == F.col("y")) & (title_key(F.col("text")) != "") & F.startswith(title_key(F.col("title")), title_key(F.col("text")))))
     own = own.withColumn("_s", F.concat_ws("|", "doc", F.col("index").cast("string")))
     own = split_headings(own, "_s").withColumnRenamed("part", "h").withColumn("_s", F.concat_ws("|", "_s", F.col("h").cast("string")))
+    own = materialize(own, "lines")  # what follows reads it several times
     heads = own.filter("heading").groupBy("_s").agg(F.min_by("text", F.struct("page", "y0")).alias("sub"))
     own = split_at(own.filter("NOT heading"), starts_parameter(), "_s").withColumn("_p", F.concat_ws("|", "_s", F.col("part").cast("string")))
+    own = materialize(own, "parts")
     names = own.filter((F.col("part") > 0) & starts_parameter()).groupBy("_p").agg(F.first(F.trim("text")).alias("param"))
     body = text_blocks(own.filter(~((F.col("part") > 0) & starts_parameter())), "_p")
     body = body.groupBy("_p").agg(F.array_sort(F.collect_list(F.struct("block", "paragraph", F.struct("kind", "text", F.lit(None).cast("string").alias("lang")).alias("b")))).alias("bs"))
     meta = own.groupBy("_p", "_s", "doc", "index", "h", "part").agg(F.first("level").alias("level"), F.first("title").alias("title"), F.first("path").alias("path"), F.min("page").alias("page"), F.first("r").alias("r"))
-    s = meta.join(heads, "_s", "left").join(names, "_p", "left").join(body, "_p", "left").filter((F.col("part") == 0) | F.col("bs").isNotNull())
+    s = meta.join(heads, "_s", "left").join(names, "_p", "left").join(body, "_p", "left").filter("bs IS NOT NULL")
     number = split_section_number(F.coalesce("param", "sub", "title"))
-    path = F.concat(F.transform("path", lambda p: split_section_number(p)["title"]), F.array_compact(F.array(split_section_number(F.col("sub"))["title"], F.col("param"))))
+    # Paths begin at the selected root, as those of the pages do.
+    path = F.concat(F.transform(F.slice("path", F.greatest(F.col("r.depth"), F.lit(1)), F.size("path")), lambda p: split_section_number(p)["title"]), F.array_compact(F.array(split_section_number(F.col("sub"))["title"], F.col("param"))))
     section = F.struct(
         number["title"].alias("title"), (F.col("level") + F.col("sub").isNotNull().cast("int") + F.col("param").isNotNull().cast("int")).alias("level"), path.alias("path"),
         F.coalesce(F.transform("bs", lambda b: b["b"]), F.array().cast("array<struct<kind:string,text:string,lang:string>>")).alias("blocks"),
-        F.when(F.col("param").isNotNull(), parameter_anchor(F.regexp_extract("param", PARAMETER, 1))).alias("anchor"), number["number"].alias("number"),
+        F.when(F.col("param").isNotNull(), parameter_anchor(F.regexp_extract("param", PARAMETER, 1))).alias("anchor"), F.when(F.coalesce("param", "sub").isNull(), number["number"]).alias("number"),
         F.when(F.col("param").isNotNull(), "parameter").otherwise("section").alias("kind"), F.col("page").cast("int").alias("page"),
     )
     d = s.groupBy("doc", "r").agg(F.array_sort(F.collect_list(F.struct("index", "h", "part", section.alias("s")))).alias("x"))

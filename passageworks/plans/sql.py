@@ -222,7 +222,8 @@ SELECT query_id, item_id, row_number() OVER (PARTITION BY query_id ORDER BY roun
     "recall_by_topic": f"WITH {_RETRIEVED} {_ONE_DENSE} {_ranks('one')} SELECT config, topic, grouping(topic)::INT AS overall, round(avg(CASE WHEN first_rank <= 2 THEN 1.0 ELSE 0.0 END), 6) AS recall, count(*) AS questions FROM ranks GROUP BY GROUPING SETS ((config, topic), (config))",
     "experiment_grid": f"WITH {_RETRIEVED} {_FUSED} {_ranks('grid')} SELECT {_MEASURES} FROM ranks GROUP BY config",
     "rank_buckets": f"WITH {_RETRIEVED} {_FUSED} {_ranks('grid')} SELECT config, CASE WHEN first_rank IS NULL THEN 'miss' WHEN first_rank = 1 THEN '1' WHEN first_rank <= 3 THEN '2-3' WHEN first_rank <= 5 THEN '4-5' WHEN first_rank <= 10 THEN '6-10' WHEN first_rank <= 20 THEN '11-20' WHEN first_rank <= 50 THEN '21-50' ELSE 'miss' END AS bucket, count(*) AS n FROM ranks GROUP BY ALL",
-    "gold_metrics": f"""WITH {_GOLD}, s AS (SELECT config, query_id, item_id, min(rank) AS r FROM search_result WHERE rank IS NOT NULL GROUP BY ALL), placed AS (SELECT config, query_id, item_id, row_number() OVER (PARTITION BY config, query_id ORDER BY r, item_id) AS rank FROM s),
+    "gold_metrics": f"""WITH {_GOLD}, la AS (SELECT * FROM search_result WHERE item_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY run_id, config, query_id, item_id ORDER BY scored_at DESC NULLS LAST, score DESC NULLS LAST, result_id DESC) = 1),
+pl AS (SELECT *, row_number() OVER (PARTITION BY run_id, config, query_id ORDER BY CASE WHEN config = 'dense_l2' THEN -score ELSE score END DESC NULLS LAST, item_id) AS p FROM la), s AS (SELECT config, query_id, item_id, min(p) AS r FROM pl GROUP BY ALL), placed AS (SELECT config, query_id, item_id, row_number() OVER (PARTITION BY config, query_id ORDER BY r, item_id) AS rank FROM s),
 c AS (SELECT chunk_id AS item_id, max(section_anchor) AS anchor, coalesce(max(array_to_string(section_path, ' > ')), '') AS crumb FROM chunk GROUP BY 1),
 hit AS (SELECT config, p.query_id, min(rank) AS first_rank FROM placed p JOIN c USING (item_id) JOIN ex ON ex.query_id = p.query_id WHERE coalesce(list_contains(anchors, upper(anchor)), false) OR len(list_filter(paths, lambda x: contains(lower(crumb), x))) > 0 GROUP BY ALL),
 ranks AS (SELECT k.config, ex.query_id, hit.first_rank FROM ex CROSS JOIN (SELECT DISTINCT config FROM placed) k LEFT JOIN hit ON hit.config = k.config AND hit.query_id = ex.query_id)

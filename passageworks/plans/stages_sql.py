@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .sql import _BM25, _FUSED, _GOLD, _LINES, _MANIFEST, _MEASURES, _ONE_DENSE, _OUTLINE, _PROSE, _RETRIEVED, _TOKENS, _embedded, _folded, _key, _ranks, _title
+from .sql import _BM25, _FUSED, _GOLD, _LINES, _MANIFEST, _MEASURES, _ONE_DENSE, _OUTLINE, _PROSE, _RETRIEVED, _TOKENS, _bare, _embedded, _folded, _key, _ranks, _title
 
 _SLUG = r"coalesce(nullif(regexp_extract(regexp_replace(regexp_extract(regexp_replace({u}, '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/+$', ''), '([^/]*)$', 1), ''), 'index.html')"
 
@@ -85,6 +85,11 @@ SELECT round(min(list_cosine_similarity(a, b)), 5) AS least_cosine, round(max(li
     "layout_line_flags": f"WITH {_SPANS}, f AS (SELECT doc, page, line, text, kind = 'code' AS mono, kind = 'title' AS heading FROM ln) SELECT doc, mono AND trim(text) <> '' AS mono, heading AND trim(text) <> '' AS heading, mono AS starts_mono, count(*) AS lines, sum(length(text))::BIGINT AS chars FROM f GROUP BY ALL",
     "layout_fonts": f"WITH {_SPANS} SELECT CASE kind WHEN 'title' THEN 'Helvetica-Bold' WHEN 'code' THEN 'Courier' ELSE 'Times' END AS font, CASE kind WHEN 'title' THEN 14.0 ELSE 10.0 END::DOUBLE AS size, sum(length(text))::BIGINT AS chars FROM ln GROUP BY ALL",
     "layout_heading_parts": f"WITH {_SPANS}, f AS (SELECT doc, sum((kind = 'title' AND trim(text) <> '')::INT) OVER (PARTITION BY doc ORDER BY page, line ROWS UNBOUNDED PRECEDING)::BIGINT AS part FROM ln) SELECT doc, part, count(*) AS lines FROM f GROUP BY ALL",
+    "layout_documents": f"""WITH {_OUTLINE}, r AS (SELECT * FROM e WHERE NOT EXISTS (SELECT 1 FROM e a WHERE a.doc = e.doc AND a.index < e.index AND a.level < e.level AND a.end_page >= e.end_page)),
+b AS (SELECT r.*, (SELECT min(n.index) FROM o n WHERE n.doc = r.doc AND n.index > r.index AND n.level <= r.level) AS end_index FROM r),
+c AS (SELECT DISTINCT doc_id AS doc, section_ord::BIGINT * 10000000 + section_id AS index FROM doc_section WHERE len(list_filter(coalesce(blocks, []), lambda x: trim(coalesce(x.text, ''), ' ' || chr(9) || chr(10) || chr(13)) <> '')) > 0),
+k AS (SELECT b.doc, b.index, b.title, b.page, b.end_page, count(*) AS n_sections FROM b JOIN c ON c.doc = b.doc AND c.index >= b.index AND (b.end_index IS NULL OR c.index < b.end_index) JOIN o ON o.doc = c.doc AND o.index = c.index GROUP BY ALL)
+SELECT 'pdf:' || coalesce(nullif({_key('title')}, ''), 'entry') || ':p' || page::VARCHAR AS doc_id, list_transform([{_title('title')}], lambda tt: {_bare('tt')})[1] AS title, n_sections, page AS page_start, end_page FROM k""".replace("end_page FROM k", "end_page AS page_end FROM k"),
     "outline_matches": f"""WITH {_OUTLINE}, w AS (SELECT DISTINCT {_key('title')} AS key FROM doc_section WHERE doc_id NOT LIKE 'pdf:%' AND title <> ''), k AS (SELECT doc, index, {_key('title')} AS key FROM o)
 SELECT 'matched' AS state, doc || '|' || index::VARCHAR AS what FROM k WHERE key IN (SELECT key FROM w WHERE key <> '') UNION ALL SELECT 'unmatched', key FROM w WHERE key <> '' AND key NOT IN (SELECT key FROM k)""",
 }

@@ -64,8 +64,7 @@ def read_vector_cache(spark: SparkSession, path: str) -> DataFrame:
 
 def load_goldset(spark: SparkSession, path: str) -> DataFrame:
     """Gold questions from YAML or JSON; unknown fields and questions without expectation are refused."""
-    with open(path) as f:
-        text = f.read()
+    text = spark.read.text(path, wholetext=True).first()[0]
     if path.endswith((".yaml", ".yml")):
         import yaml
 

@@ -3,6 +3,8 @@ import tempfile
 import pytest
 from pyspark.sql import SparkSession
 
+from passageworks.session import drop_materialized
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -17,4 +19,5 @@ def spark():
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s
+    drop_materialized(s)
     s.stop()

@@ -248,6 +248,7 @@ def test_documents_of_a_layout(spark):
     assert docs["Start"]["sections"][2]["path"] == ["Start", "Settings", "work_mem (integer)"] and docs["Start"]["sections"][1]["number"] == "1.1"
     wanted = spark.createDataFrame([("settings", "start"), ("gone", None)], "key string, context string")
     only = layout.extract_documents(l, o, 9, wanted).collect()
+    assert only[0]["sections"][0]["path"] == ["Settings"] and only[0]["sections"][1]["path"] == ["Settings", "work_mem (integer)"]
     assert [r["title"] for r in only] == ["Settings"] and [r["key"] for r in layout.unmatched_titles(wanted, o).collect()] == ["gone"]
 
 

@@ -14,6 +14,7 @@ SAMPLE = (
     "content_hash_dedup", "stable_chunk_id", "title_keys", "comparison_text", "lexical_tokenize", "ancestor_breadcrumb", "chunk_greedy_pack", "chunk_statistics", "paragraph_islands", "code_runs",
     "outline_end_page", "root_selection", "dense_topk", "dense_topk_filtered", "bm25_topk", "rrf_fusion", "weighted_fusion", "rerank_reorder", "experiment_grid", "recall_by_topic", "gold_metrics",
     "goldset_verify", "stratified_stride_sample", "even_stride_sample", "upsert_latest", "vector_cache_plan", "format_join_fallback", "compare_summary", "stream_event_windows",
+    "normalize_code", "section_numbers", "html_sections", "html_blocks", "nav_links", "crawl_chain", "jsonl_roundtrip", "store_status", "ask_store", "text_experiment", "layout_documents", "outline_matches", "pair_vector_cosine",
 )
 
 
