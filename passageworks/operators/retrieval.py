@@ -109,6 +109,13 @@ class InvertedIndex:
 
     @cached_property
     def postings(self) -> DataFrame:
+        return materialize(self._counted(), "postings")
+
+    def _known(self) -> DataFrame:
+        """The postings, counted anew where no search has written them yet."""
+        return self.__dict__["postings"] if "postings" in self.__dict__ else self._counted()
+
+    def _counted(self) -> DataFrame:
         # Counted within each document's row: no shuffle, and a document's postings stay together, so a search adds them up before it shuffles.
         def count(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in it:
@@ -117,16 +124,16 @@ class InvertedIndex:
                 yield pd.DataFrame({"term": [w for c in n for w in c], "item_id": pdf["item_id"].repeat(sizes).array, "tf": [k for c in n for k in c.values()], "dl": np.repeat([c.total() for c in n], sizes).astype(np.int32)})
 
         i_type = self.docs.schema["item_id"].dataType.simpleString()
-        return materialize(self.docs.mapInPandas(count, f"term string, item_id {i_type}, tf bigint, dl int"), "postings")
+        return self.docs.mapInPandas(count, f"term string, item_id {i_type}, tf bigint, dl int")
 
     @cached_property
     def stats(self) -> DataFrame:
-        n, total = self.docs.agg(F.count(F.lit(1)).alias("n")), self.postings.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("total"))
+        n, total = self.docs.agg(F.count(F.lit(1)).alias("n")), self._known().agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("total"))
         return n.crossJoin(F.broadcast(total)).select("n", (F.col("total") / F.nullif("n", F.lit(0))).alias("avgdl"))  # one row each
 
     @cached_property
     def terms(self) -> DataFrame:
-        df = self.postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        df = self._known().groupBy("term").agg(F.count(F.lit(1)).alias("df"))
         raw = df.crossJoin(F.broadcast(self.stats)).withColumn("raw", F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))  # stats is one row
         mean = raw.agg(F.avg("raw").alias("mean"))
         return raw.crossJoin(F.broadcast(mean)).select("term", "df", F.when(F.col("raw") < 0, F.col("mean") * self._epsilon).otherwise(F.col("raw")).alias("idf"))
@@ -137,6 +144,7 @@ class InvertedIndex:
         Query terms, with their weights, are joined with the postings, by broadcast up to ASKED of them, and the products summed per query and
         document. What is ranked is cut to k per query before it is shuffled.
         """
+        postings = self.postings
         q = queries.select(F.col(query_id).alias("query_id"), lexical_tokens(F.coalesce(F.col(text), F.lit(""))).alias("t"))
         asked = q.select("query_id", F.explode("t").alias("term")).groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("times"))
         asked = materialize(asked.join(self.terms, "term").select("query_id", "term", (F.col("times") * F.col("idf")).alias("weight")), "asked")
@@ -144,7 +152,7 @@ class InvertedIndex:
             asked = F.broadcast(asked)
         norm = F.lit(self.k1) * (1 - self.b + self.b * F.col("dl") / F.coalesce("avgdl", F.lit(1.0)))
         part = F.col("weight") * F.col("tf") * (self.k1 + 1) / (F.col("tf") + norm)
-        hits = self.postings.join(asked, "term").crossJoin(F.broadcast(self.stats))  # stats is one row
+        hits = postings.join(asked, "term").crossJoin(F.broadcast(self.stats))  # stats is one row
         scored = hits.groupBy("query_id", "item_id").agg(F.sum(part).alias("score"))
         if zero_fill:
             spare = self.docs.select("item_id").orderBy("item_id")
